@@ -112,14 +112,13 @@ def monthly_cost_totals(
     lo, hi = first[0] * 12 + first[1] - 1, last[0] * 12 + last[1] - 1
     first_day, last_day = month_bounds(*first)[0], month_bounds(*last)[1]
     none, no_change = F.lit(0).cast(MONEY), F.lit(0).cast("decimal(19,6)")
-    no_name = F.lit(None).cast("string")
 
     running = ordinary.where(within(F.col("fecha"), first_day, last_day)).select(
         "consorcioID",
         month_index(F.col("fecha")).alias("periodo"),
         F.col("importeTotal").cast(MONEY).alias("ordinario"),
         no_change.alias("cambio"),
-        no_name.alias("consorcio"),
+        F.lit(0).alias("propio"),
     )
     # Marks from before the span add up to the state it begins with.
     marks = charge_marks(extraordinary.where(F.col("fecha") <= F.lit(last_day)), mode).select(
@@ -127,14 +126,14 @@ def monthly_cost_totals(
         F.greatest(F.col("periodo"), F.lit(lo)).alias("periodo"),
         none.alias("ordinario"),
         F.col("cambio").cast("decimal(19,6)").alias("cambio"),
-        no_name.alias("consorcio"),
+        F.lit(0).alias("propio"),
     )
     grid = buildings.select(
         "consorcioID",
         F.explode(F.sequence(F.lit(lo), F.lit(hi))).alias("periodo"),
         none.alias("ordinario"),
         no_change.alias("cambio"),
-        F.coalesce("nombre", F.lit("")).alias("consorcio"),
+        F.lit(1).alias("propio"),
     )
     cells = (
         running.unionByName(marks.where(F.col("periodo") <= hi))
@@ -143,13 +142,14 @@ def monthly_cost_totals(
         .agg(
             F.sum("ordinario").cast(MONEY).alias("expOrdinarias"),
             F.sum("cambio").cast("decimal(26,6)").alias("cambio"),
-            F.max("consorcio").alias("consorcio"),
+            F.max("propio").alias("propio"),
         )
     )
     so_far = W.partitionBy("consorcioID").orderBy("periodo").rowsBetween(W.unboundedPreceding, 0)
     return (
         cells.withColumn("expExtraordinarias", F.sum("cambio").over(so_far).cast(MONEY))
-        .where(F.col("consorcio").isNotNull())  # costs of unknown buildings
+        .where(F.col("propio") == 1)  # else the cost of an unknown building
+        .join(buildings.select("consorcioID", F.col("nombre").alias("consorcio")), "consorcioID")
         .select(
             "consorcioID",
             "consorcio",

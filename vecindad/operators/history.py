@@ -1,15 +1,16 @@
 """Month-to-month state over a whole history in one pass.
 
-A month's account needs the account of the month before, so months cannot be
+A month's account needs the total of the month before, so months cannot be
 computed independently.  Instead of running one job per month, all inputs are
 first summed by key and month; then each key holds one short array, one element
-per month of the span, and a fold walks through it.  The array's length is
-the number of months, never the number of payments or costs.
+per month of the span.  A fold walks through it and carries nothing but the
+running total; every other amount follows from it row by row.  The length of
+the array is the number of months, never the number of payments or costs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,51 +19,130 @@ from vecindad.functions.dates import index_month, index_year
 from vecindad.functions.text import comparable
 from vecindad.operators.costs import check_mode
 from vecindad.operators.interest import (
-    ACCOUNT_TYPE,
-    POSITION_TYPE,
     account_amounts,
+    account_total,
+    as_money,
+    final_balance,
     position_amounts,
+    to_cents,
+    zero_if_null,
 )
 
+# A month of a building takes about this much; broadcasts stay below the limit.
+BYTES_PER_DOCUMENT = 64
+BROADCAST_LIMIT = 32 << 20
 
-def fold_months(
-    months: Column,
-    row_type: str,
-    inputs: Callable[[Column, Column], Column],
-    row: Callable[[Column], Column],
-) -> Column:
-    """Array of ``row_type`` with one element per month, in order.
 
-    ``inputs(before, month)`` builds the input struct of a month, where
-    ``before`` is the finished row of the preceding element (NULL at first);
-    ``row`` turns the inputs into the finished row.
+def running_totals(months: Column, total: Callable[[Column, Column, Column], Column]) -> Column:
+    """Array of totals (cents), each computed from the ones before it.
+
+    ``total(month, before, before_that)`` gives the total of one element; the
+    other two are the totals one and two months earlier, NULL where the months
+    are missing.  Totals are plain numbers, which keeps growing the array cheap.
     """
 
     def step(done: Column, month: Column) -> Column:
-        before = F.try_element_at(done, F.lit(-1))
-        finished = F.transform(F.array(inputs(before, month)), row)
-        return F.concat(done, finished.cast(f"array<{row_type}>"))
+        last = F.when(month["seguido"], F.try_element_at(done, F.lit(-1)))
+        second = F.when(month["seguido2"], F.try_element_at(done, F.lit(-2)))
+        return F.array_append(done, total(month, last, second))
+
+    return F.aggregate(months, F.array().cast("array<bigint>"), step)
 
-    return F.aggregate(months, F.array().cast(f"array<{row_type}>"), step)
 
+def _shifted(totals: Column, by: int) -> Column:
+    """The array moved right: element i holds what was at i - by."""
+    lead = F.array_repeat(F.lit(None).cast("bigint"), by)
+    return F.slice(F.concat(lead, totals), F.lit(1), F.size(totals))
 
-def _if_adjacent(before: Column, month: Column, name: str) -> Column:
-    """Field of the preceding row if it really is the month before."""
-    return F.when(before["periodo"] == month["periodo"] - 1, before[name])
 
+def _one_row_per_month(frame: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """Explodes ``_meses`` with its totals: ``total``, and the totals one and two
+    months earlier as ``antes`` and ``antes2`` (NULL where a month is missing)."""
+    zipped = F.arrays_zip(
+        F.col("_meses"),
+        F.col("_total").alias("total"),
+        _shifted(F.col("_total"), 1).alias("antes"),
+        _shifted(F.col("_total"), 2).alias("antes2"),
+    )
+    rows = frame.select(*keep, F.inline(zipped)).select(
+        *keep, "_meses.*", "total", "antes", "antes2"
+    )
+    return rows.withColumns(
+        {
+            "antes": F.when(F.col("seguido"), F.col("antes")),
+            "antes2": F.when(F.col("seguido2"), F.col("antes2")),
+        }
+    )
 
-def _named(columns: dict[str, Column]) -> Column:
-    return F.struct(*[c.alias(n) for n, c in columns.items()])
 
+def _monthly_documents(documents: DataFrame, count: int | None) -> DataFrame:
+    """One row per building with its documents as an array ordered by month.
 
-def _monthly_documents(documents: DataFrame) -> DataFrame:
-    """One row per building with its documents as an array ordered by month."""
-    return documents.groupBy("consorcioID").agg(
+    ``seguido`` says that the element before is the month before, ``seguido2``
+    that the same holds for the one before that; ``egresosPrevios`` is the outgo
+    of the month before.  ``count`` is an upper bound on the number of documents.
+    Only if it is known and small is the result marked for broadcast; otherwise
+    the join is a shuffle join, in which adaptive execution splits large
+    buildings.
+    """
+    packed = documents.groupBy("consorcioID").agg(
         F.sort_array(
             F.collect_list(
-                F.struct("periodo", "documentoID", "expOrdinarias", "expExtraordinarias")
+                F.struct(
+                    "periodo",
+                    "documentoID",
+                    to_cents(F.col("expOrdinarias")).alias("ordinario"),
+                    to_cents(F.col("expExtraordinarias")).alias("extra"),
+                )
             )
-        ).alias("_meses")
+        ).alias("_lista")
+    )
+
+    def look_back(month: Column, position: Column) -> Column:
+        before, before_that = F.get("_lista", position - 1), F.get("_lista", position - 2)
+        one = F.coalesce(before["periodo"] == month["periodo"] - 1, F.lit(False))
+        two = F.coalesce(before_that["periodo"] == month["periodo"] - 2, F.lit(False))
+        return F.struct(
+            *[month[n].alias(n) for n in ("periodo", "documentoID", "ordinario", "extra")],
+            F.when(one, before["ordinario"] + before["extra"]).alias("egresosPrevios"),
+            one.alias("seguido"),
+            (one & two).alias("seguido2"),
+        )
+
+    packed = packed.select("consorcioID", F.transform("_lista", look_back).alias("_meses"))
+    if count is not None and count * BYTES_PER_DOCUMENT <= BROADCAST_LIMIT:
+        return F.broadcast(packed)
+    return packed
+
+
+def _payments_of_units(
+    units: DataFrame, by_account: DataFrame, by_unit: DataFrame, mode: str
+) -> DataFrame:
+    """Per unit two maps from month to what was paid in it.
+
+    ``_paid``: amount and last day; ``_due``: paid by the two due days.  In
+    reference mode the amount is found by the unit's account, in strict mode by
+    the unit itself, like the other two.
+    """
+
+    def entry(*fields: Column) -> Column:
+        return F.struct("periodo", F.struct(*fields))
+
+    due = entry(to_cents(F.col("hasta10")).alias("hasta10"), to_cents(F.col("hasta15")).alias("hasta15"))
+    if mode == "strict":
+        paid = entry(to_cents(F.col("pagado")).alias("pagos"), F.col("ultimo"))
+        entries = by_unit.select("unidadFuncionalID", due.alias("_due"), paid.alias("_paid"))
+    else:
+        accounts = units.where(F.col("CBU_CVU").isNotNull()).select(
+            "unidadFuncionalID", comparable(F.col("CBU_CVU")).alias("_cuenta")
+        )
+        paid = entry(to_cents(F.col("pagos")).alias("pagos"), F.col("ultimoPago").alias("ultimo"))
+        entries = by_unit.select("unidadFuncionalID", due.alias("_due")).unionByName(
+            by_account.join(accounts, "_cuenta").select("unidadFuncionalID", paid.alias("_paid")),
+            allowMissingColumns=True,
+        )
+    return entries.groupBy("unidadFuncionalID").agg(
+        *[F.map_from_entries(F.collect_list(c)).alias(c) for c in ("_due", "_paid")]
     )
 
 
@@ -73,76 +153,74 @@ def account_history(
     by_unit: DataFrame,
     policy: str = "partial_payment",
     mode: str = "reference",
+    document_count: int | None = None,
 ) -> DataFrame:
     """Accounts of every unit for every document of its building.
 
     ``documents``: (consorcioID, periodo, documentoID, expOrdinarias,
-    expExtraordinarias).  ``by_account`` / ``by_unit``: payments summed by month
-    (see ``operators.payments``).  In reference mode the paid amount goes by the
-    unit's account and the due-day sums by unit; in strict mode all go by unit.
+    expExtraordinarias), at most ``document_count`` rows.  ``by_account`` /
+    ``by_unit``: payments summed by month (see ``operators.payments``).
     """
     check_mode(mode)
-    own = units.select("unidadFuncionalID", "consorcioID", "coeficiente", "CBU_CVU")
-    due = by_unit.select(
+    own = units.select(
         "unidadFuncionalID",
-        F.struct("periodo", F.struct("hasta10", "hasta15", "pagado", "ultimo")).alias("_due"),
-    )
-    if mode == "reference":
-        accounts = own.where(F.col("CBU_CVU").isNotNull()).select(
-            "unidadFuncionalID", comparable(F.col("CBU_CVU")).alias("_cuenta")
-        )
-        paid = by_account.join(accounts, "_cuenta").select(
-            "unidadFuncionalID",
-            F.struct("periodo", F.struct("pagos", F.col("ultimoPago").alias("ultimo"))).alias(
-                "_paid"
-            ),
-        )
-        due = due.unionByName(paid, allowMissingColumns=True)
-        paid_map = F.map_from_entries(F.collect_list("_paid"))
-    else:
-        paid_map = F.map_from_entries(
-            F.transform(
-                F.collect_list("_due"),
-                lambda e: F.struct(
-                    e["periodo"],
-                    F.struct(e["col2"]["pagado"].alias("pagos"), e["col2"]["ultimo"].alias("ultimo")),
-                ),
-            )
-        )
-    payments = due.groupBy("unidadFuncionalID").agg(
-        paid_map.alias("_paid"), F.map_from_entries(F.collect_list("_due")).alias("_due")
-    )
-    ready = own.join(payments, "unidadFuncionalID", "left").join(
-        _monthly_documents(documents), "consorcioID"
+        "consorcioID",
+        (F.col("coeficiente").cast("decimal(4,2)") * 100).cast("bigint").alias("coeficiente"),
     )
+    ready = own.join(
+        _payments_of_units(units, by_account, by_unit, mode), "unidadFuncionalID", "left"
+    ).join(_monthly_documents(documents, document_count), "consorcioID")
 
-    def inputs(before: Column, month: Column) -> Column:
-        paid = F.try_element_at(F.col("_paid"), month["periodo"] - 1)
-        due = F.try_element_at(F.col("_due"), month["periodo"] - 1)
-        return F.struct(
-            month["documentoID"].alias("documentoID"),
-            month["periodo"].alias("periodo"),
-            _if_adjacent(before, month, "totalPagar").alias("previo"),
-            _if_adjacent(before, month, "saldo").alias("saldoPrevio"),
-            paid["pagos"].alias("pagos"),
-            paid["ultimo"].alias("ultimo"),
-            due["hasta10"].alias("hasta10"),
-            due["hasta15"].alias("hasta15"),
-            month["expOrdinarias"].alias("ordinario"),
-            month["expExtraordinarias"].alias("extra"),
-            F.col("coeficiente").alias("coeficiente"),
-        )
+    def lookups(month) -> dict[str, Column]:
+        """What was paid in the month before, found in the maps of the unit."""
+        paid = F.try_element_at(F.col("_paid"), month("periodo") - 1)
+        due = F.try_element_at(F.col("_due"), month("periodo") - 1)
+        earlier = F.try_element_at(F.col("_paid"), month("periodo") - 2)
+        return {
+            "pagos": paid["pagos"],
+            "ultimo": paid["ultimo"],
+            "hasta10": due["hasta10"],
+            "hasta15": due["hasta15"],
+            "pagosAntes": earlier["pagos"],
+            "coeficiente": F.col("coeficiente"),
+        }
+
+    def balance_before(month, before_that: Column, paid_earlier: Column) -> Column:
+        balance = zero_if_null(before_that) - zero_if_null(paid_earlier)
+        return F.when(month("seguido"), balance)
 
-    def row(month: Column) -> Column:
-        head = {"documentoID": month["documentoID"], "periodo": month["periodo"]}
-        return _named({**head, **account_amounts(lambda name: month[name], policy)})
+    def total(month: Column, before: Column, before_that: Column) -> Column:
+        known = lookups(lambda n: month[n])
+        known["previo"] = before
+        known["saldoPrevio"] = balance_before(
+            lambda n: month[n], before_that, known["pagosAntes"]
+        )
+        return account_total(lambda n: known[n] if n in known else month[n], policy)
 
-    accounts = ready.select(
+    folded = ready.withColumn("_total", running_totals(F.col("_meses"), total))
+    keys = ["unidadFuncionalID", "consorcioID", "coeficiente"]
+    rows = _one_row_per_month(folded, [*keys, "_paid", "_due"])
+    found = lookups(F.col)
+    months = rows.select(
+        *keys,
+        "documentoID",
+        "periodo",
+        "ordinario",
+        "extra",
+        "total",
+        F.col("antes").alias("previo"),
+        balance_before(F.col, F.col("antes2"), found["pagosAntes"]).alias("saldoPrevio"),
+        *[found[n].alias(n) for n in ("pagos", "ultimo", "hasta10", "hasta15")],
+    )
+    amounts = {**account_amounts(F.col, policy), "totalPagar": F.col("total")}
+    return months.select(
         "unidadFuncionalID",
         "consorcioID",
-        F.inline(fold_months(F.col("_meses"), ACCOUNT_TYPE, inputs, row)),
+        "documentoID",
+        *as_money(amounts),
+        index_year(F.col("periodo")).alias("anio"),
+        index_month(F.col("periodo")).alias("mes"),
     )
-    return _with_period(accounts)
 
 
 def position_history(
@@ -154,35 +232,37 @@ def position_history(
     """
     check_mode(mode)
     names = ["hasta10", "hasta15", "desde10", "desde11"]
+    paid_entry = F.struct("periodo", F.struct(*[to_cents(F.col(n)).alias(n) for n in names]))
     payments = by_building.groupBy("consorcioID").agg(
-        F.map_from_entries(F.collect_list(F.struct("periodo", F.struct(*names)))).alias("_pagos")
+        F.map_from_entries(F.collect_list(paid_entry)).alias("_pagos")
     )
-    ready = _monthly_documents(documents).join(payments, "consorcioID", "left")
+    ready = _monthly_documents(documents, None).join(payments, "consorcioID", "left")
 
-    def inputs(before: Column, month: Column) -> Column:
-        paid = F.try_element_at(F.col("_pagos"), month["periodo"] - 1)
-        return F.struct(
-            month["documentoID"].alias("documentoID"),
-            month["periodo"].alias("periodo"),
-            _if_adjacent(before, month, "saldoFinal").alias("saldoPrevio"),
-            _if_adjacent(before, month, "egresosTotales").alias("egresosPrevios"),
-            *[paid[n].alias(n) for n in names],
-            month["expOrdinarias"].alias("ordinario"),
-            month["expExtraordinarias"].alias("extra"),
-        )
+    def paid(name: str, period: Column) -> Column:
+        return F.try_element_at(F.col("_pagos"), period - 1)[name]
 
-    def row(month: Column) -> Column:
-        head = {"documentoID": month["documentoID"], "periodo": month["periodo"]}
-        return _named({**head, **position_amounts(lambda name: month[name], mode)})
+    def total(month: Column, before: Column, before_that: Column) -> Column:
+        known = {"saldoPrevio": before, **{n: paid(n, month["periodo"]) for n in names}}
+        return final_balance(lambda n: known[n] if n in known else month[n])
 
-    positions = ready.select(
-        "consorcioID", F.inline(fold_months(F.col("_meses"), POSITION_TYPE, inputs, row))
+    folded = ready.withColumn("_total", running_totals(F.col("_meses"), total))
+    rows = _one_row_per_month(folded, ["consorcioID", "_pagos"])
+    months = rows.select(
+        "consorcioID",
+        "documentoID",
+        "periodo",
+        "ordinario",
+        "extra",
+        "egresosPrevios",
+        "total",
+        F.col("antes").alias("saldoPrevio"),
+        *[paid(n, F.col("periodo")).alias(n) for n in names],
     )
-    return _with_period(positions)
-
-
-def _with_period(frame: DataFrame) -> DataFrame:
-    rest = [c for c in frame.columns if c != "periodo"]
-    return frame.select(
-        *rest, index_year(F.col("periodo")).alias("anio"), index_month(F.col("periodo")).alias("mes")
+    amounts = {**position_amounts(F.col, mode), "saldoFinal": F.col("total")}
+    return months.select(
+        "consorcioID",
+        "documentoID",
+        *as_money(amounts),
+        index_year(F.col("periodo")).alias("anio"),
+        index_month(F.col("periodo")).alias("mes"),
     )

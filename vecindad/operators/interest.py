@@ -1,30 +1,29 @@
 """Late interest and the monthly account of a unit, as column expressions.
 
-The expressions work on plain columns (one month at a time) and on struct
-fields inside a fold (a whole history at a time) alike.
+All amounts in here are whole cents (bigint).  Shares of a building total carry
+four further decimals, so a sum of parts is built in units of 1e-4 cents and
+rounded once, half away from zero.  Integer arithmetic is exact, fast inside a
+fold, and an overflow is an error (ANSI mode) -- at 9.2e12 units of currency,
+above the declared size of the balance columns.
+
+The same expressions serve one month at a time (plain columns) and a whole
+history at a time (struct fields inside a fold).
 """
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from vecindad.schemas import MONEY
 
-# Interest for missing the first and the second due day.
-FIRST_RATE = Decimal("0.02")
-SECOND_RATE = Decimal("0.05")
+# Interest in percent for missing the first and the second due day.
+FIRST_RATE = 2
+SECOND_RATE = 5
 
 POLICIES = ("partial_payment", "last_payment", "flat")
 
-ACCOUNT_TYPE = (
-    "struct<documentoID:bigint,periodo:int,saldoAnterior:decimal(18,2),"
-    "pagosRecibidos:decimal(18,2),saldo:decimal(18,2),InteresesPorMora:decimal(18,2),"
-    "expensasOrdinarias:decimal(18,2),expensasExtraordinarias:decimal(18,2),"
-    "totalPagar:decimal(18,2)>"
-)
+CENT_PARTS = 10_000
 
 
 def check_policy(policy: str) -> None:
@@ -32,33 +31,49 @@ def check_policy(policy: str) -> None:
         raise ValueError(f"policy must be one of {POLICIES}, not {policy!r}")
 
 
-def money(value: Column) -> Column:
-    """Two decimals, NULL read as 0."""
-    return F.coalesce(value.cast(MONEY), F.lit(0).cast(MONEY))
+def to_cents(amount: Column) -> Column:
+    return (amount.cast(MONEY) * 100).cast("bigint")
+
+
+def from_cents(cents: Column) -> Column:
+    return (cents.cast("decimal(19,0)") * F.lit("0.01").cast("decimal(2,2)")).cast(MONEY)
+
+
+def zero_if_null(value: Column) -> Column:
+    return F.coalesce(value, F.lit(0).cast("bigint"))
+
+
+def rounded(parts: Column) -> Column:
+    """Units of 1e-4 cents to cents, half away from zero."""
+    return F.call_function("div", F.round(parts, -4), F.lit(CENT_PARTS))
 
 
 def late_interest(previous: Column, paid_by_10: Column, paid_by_15: Column) -> Column:
     """2 % of what was open after day 10 and 5 % of what was open after day 15.
 
-    Never negative, and 0 when nothing was due.  Four decimals.
+    Never negative, and 0 when nothing was due.  In units of 1e-4 cents.
     """
-    charge = (previous - money(paid_by_10)) * F.lit(FIRST_RATE) + (
-        previous - money(paid_by_15)
-    ) * F.lit(SECOND_RATE)
-    return F.when((previous > 0) & (charge > 0), charge.cast("decimal(22,4)")).otherwise(
-        F.lit(0).cast("decimal(22,4)")
+    charge = (
+        previous * (FIRST_RATE + SECOND_RATE)
+        - zero_if_null(paid_by_10) * FIRST_RATE
+        - zero_if_null(paid_by_15) * SECOND_RATE
     )
+    due = F.greatest(charge, F.lit(0).cast("bigint")) * (CENT_PARTS // 100)
+    return zero_if_null(F.when(previous > 0, due))
 
 
 def share(total: Column, percent: Column) -> Column:
-    """Part of a building total that falls to a unit; six decimals, exact."""
-    return (money(total) * percent.cast("decimal(4,2)") * F.lit(Decimal("0.01"))).cast(
-        "decimal(26,6)"
-    )
+    """Part of a building total, in units of 1e-4 cents; ``percent`` in hundredths."""
+    return zero_if_null(total) * percent
 
 
-def account_amounts(month, policy: str = "partial_payment") -> dict[str, Column]:
-    """Amounts of one unit and month.
+def _percent(amount: Column, rate: int, condition: Column | None = None) -> Column:
+    value = amount * (rate * CENT_PARTS // 100)
+    return value if condition is None else zero_if_null(F.when(condition, value))
+
+
+def account_total(month, policy: str = "partial_payment") -> Column:
+    """Amount to pay for one unit and month.
 
     ``month(name)`` gives the inputs: ``previo`` and ``saldoPrevio`` (total and
     balance of the month before, NULL if there is none), ``pagos`` and ``ultimo``
@@ -66,55 +81,67 @@ def account_amounts(month, policy: str = "partial_payment") -> dict[str, Column]
     ``ordinario``, ``extra`` (building totals) and ``coeficiente``.
     """
     check_policy(policy)
-    previous, paid = money(month("previo")), money(month("pagos"))
-    running = share(month("ordinario"), month("coeficiente"))
-    one_off = share(month("extra"), month("coeficiente"))
-    open_amount = previous - paid
+    previous = zero_if_null(month("previo"))
+    open_parts = (previous - zero_if_null(month("pagos"))) * CENT_PARTS
+    shares = share(month("ordinario"), month("coeficiente")) + share(
+        month("extra"), month("coeficiente")
+    )
     if policy == "partial_payment":
         interest = late_interest(month("previo"), month("hasta10"), month("hasta15"))
-        balance = -open_amount
-        total = interest + running + one_off + open_amount
-    elif policy == "last_payment":
-        # The payment day is one of the month before.  The column measures it
-        # against that month's due days; the total against the due days of the
-        # current month, which only a missing payment can fail.
-        late = lambda day: F.coalesce(F.dayofmonth(month("ultimo")) > day, F.lit(True))
-        rate = lambda hit, base, pct: F.when(hit, base * F.lit(pct)).otherwise(
-            F.lit(0).cast("decimal(21,4)")
-        )
+        return rounded(interest + shares + open_parts)
+    balance = zero_if_null(month("saldoPrevio"))
+    if policy == "last_payment":
+        # Due days of the current month: only a missing payment is late by them.
         never = month("ultimo").isNull()
-        interest = rate(late(10), previous, FIRST_RATE) + rate(late(15), previous, SECOND_RATE)
-        balance = open_amount
-        total = F.greatest(
-            (
-                open_amount
-                + rate(never, previous, FIRST_RATE)
-                + rate(never, money(month("saldoPrevio")), SECOND_RATE)
-                + running
-                + one_off
-            ).cast("decimal(28,6)"),
-            F.lit(0).cast("decimal(28,6)"),
+        interest = _percent(previous, FIRST_RATE, never) + _percent(balance, SECOND_RATE, never)
+        return F.greatest(rounded(open_parts + interest + shares), F.lit(0).cast("bigint"))
+    interest = _percent(previous, FIRST_RATE) + _percent(balance, SECOND_RATE)
+    whole = (zero_if_null(month("ordinario")) + zero_if_null(month("extra"))) * CENT_PARTS
+    return rounded(open_parts + interest + whole)
+
+
+def account_amounts(month, policy: str = "partial_payment") -> dict[str, Column]:
+    """All amounts of one unit and month, from the inputs of :func:`account_total`."""
+    check_policy(policy)
+    previous, paid = zero_if_null(month("previo")), zero_if_null(month("pagos"))
+    if policy == "partial_payment":
+        interest = late_interest(month("previo"), month("hasta10"), month("hasta15"))
+        balance = paid - previous
+    elif policy == "last_payment":
+        # Due days of the month before, in which the last payment lies.
+        def late(day: int) -> Column:
+            return month("ultimo").isNull() | (F.dayofmonth(month("ultimo")) > day)
+
+        interest = _percent(previous, FIRST_RATE, late(10)) + _percent(
+            previous, SECOND_RATE, late(15)
         )
+        balance = previous - paid
     else:
-        interest = previous * F.lit(FIRST_RATE) + money(month("saldoPrevio")) * F.lit(SECOND_RATE)
-        balance = open_amount
-        total = open_amount + interest + money(month("ordinario")) + money(month("extra"))
+        interest = _percent(previous, FIRST_RATE) + _percent(
+            zero_if_null(month("saldoPrevio")), SECOND_RATE
+        )
+        balance = previous - paid
     return {
         "saldoAnterior": previous,
         "pagosRecibidos": paid,
-        "saldo": balance.cast(MONEY),
-        "InteresesPorMora": interest.cast(MONEY),
-        "expensasOrdinarias": running.cast(MONEY),
-        "expensasExtraordinarias": one_off.cast(MONEY),
-        "totalPagar": total.cast(MONEY),
+        "saldo": balance,
+        "InteresesPorMora": rounded(interest),
+        "expensasOrdinarias": rounded(share(month("ordinario"), month("coeficiente"))),
+        "expensasExtraordinarias": rounded(share(month("extra"), month("coeficiente"))),
+        "totalPagar": account_total(month, policy),
     }
 
 
-POSITION_TYPE = (
-    "struct<documentoID:bigint,periodo:int,saldoAnterior:decimal(18,2),"
-    "ingresosEnTermino:decimal(18,2),ingresosAdeudados:decimal(18,2),"
-    "egresosTotales:decimal(18,2),saldoFinal:decimal(18,2)>"
-)
+def final_balance(month) -> Column:
+    """Final cash balance of one building and month (see :func:`position_amounts`)."""
+    known = (
+        zero_if_null(month("saldoPrevio"))
+        + zero_if_null(month("hasta10"))
+        - zero_if_null(month("ordinario"))
+        - zero_if_null(month("extra"))
+    )
+    interest = late_interest(month("egresosPrevios"), month("hasta10"), month("hasta15"))
+    return rounded(known * CENT_PARTS + interest)
 
 
 def position_amounts(month, mode: str = "reference") -> dict[str, Column]:
@@ -125,13 +152,15 @@ def position_amounts(month, mode: str = "reference") -> dict[str, Column]:
     (``hasta10``, ``hasta15``, ``desde10``, ``desde11``), ``ordinario``, ``extra``.
     In reference mode day 10 counts as on time and as overdue.
     """
-    before, on_time = money(month("saldoPrevio")), money(month("hasta10"))
-    outgo = money(month("ordinario")) + money(month("extra"))
-    interest = late_interest(month("egresosPrevios"), month("hasta10"), month("hasta15"))
+    overdue = month("desde10") if mode == "reference" else month("desde11")
     return {
-        "saldoAnterior": before,
-        "ingresosEnTermino": on_time,
-        "ingresosAdeudados": money(month("desde10" if mode == "reference" else "desde11")),
-        "egresosTotales": outgo.cast(MONEY),
-        "saldoFinal": (before + on_time + interest - outgo).cast(MONEY),
+        "saldoAnterior": zero_if_null(month("saldoPrevio")),
+        "ingresosEnTermino": zero_if_null(month("hasta10")),
+        "ingresosAdeudados": zero_if_null(overdue),
+        "egresosTotales": zero_if_null(month("ordinario")) + zero_if_null(month("extra")),
+        "saldoFinal": final_balance(month),
     }
+
+
+def as_money(amounts: dict[str, Column]) -> list[Column]:
+    return [from_cents(value).alias(name) for name, value in amounts.items()]

@@ -23,7 +23,7 @@ from vecindad.functions.text import comparable, joined, surrogate
 from vecindad.operators.changes import insert_if_missing, update_from_join
 from vecindad.operators.costs import check_mode, monthly_cost_totals, period_cost_totals
 from vecindad.operators.history import account_history, position_history
-from vecindad.operators.interest import account_amounts, position_amounts
+from vecindad.operators.interest import account_amounts, as_money, position_amounts, to_cents
 from vecindad.operators.payments import (
     collected,
     paid_by_account,
@@ -105,27 +105,25 @@ def financial_position(
     check_mode(mode)
     before = _previous_rows(documents, positions, year, month).select(
         "consorcioID",
-        F.col("saldoFinal").alias("saldoPrevio"),
-        F.col("egresosTotales").alias("egresosPrevios"),
+        to_cents(F.col("saldoFinal")).alias("saldoPrevio"),
+        to_cents(F.col("egresosTotales")).alias("egresosPrevios"),
     )
     current = _of_period(documents, year, month)
     if mode == "strict":
         done = _of_period(positions, year, month).select("documentoID")
         current = current.join(done, "documentoID", "left_anti")
-    paid = by_building.where(F.col("periodo") == year * 12 + month - 2).drop("periodo")
+    sums = ("hasta10", "hasta15", "desde10", "desde11")
+    paid = by_building.where(F.col("periodo") == year * 12 + month - 2).select(
+        "consorcioID", *[to_cents(F.col(c)).alias(c) for c in sums]
+    )
     joined_rows = (
         current.select("documentoID", "consorcioID")
         .join(before, "consorcioID", "left")
         .join(paid, "consorcioID", "left")
         .join(_totals_for_join(totals), "consorcioID", "left")
     )
-    amounts = position_amounts(F.col, mode)
-    return _in_order(
-        joined_rows.select(
-            "documentoID", "consorcioID", *[c.alias(n) for n, c in amounts.items()]
-        ),
-        "Estado_Financiero",
-    )
+    amounts = as_money(position_amounts(F.col, mode))
+    return joined_rows.select("documentoID", "consorcioID", *amounts)
 
 
 def unit_accounts(
@@ -145,14 +143,14 @@ def unit_accounts(
     previous = year * 12 + month - 2
     before = _previous_rows(documents, accounts, year, month).select(
         "unidadFuncionalID",
-        F.col("totalPagar").alias("previo"),
-        F.col("saldo").alias("saldoPrevio"),
+        to_cents(F.col("totalPagar")).alias("previo"),
+        to_cents(F.col("saldo")).alias("saldoPrevio"),
     )
     due = by_unit.where(F.col("periodo") == previous).select(
         "unidadFuncionalID",
-        "hasta10",
-        "hasta15",
-        F.col("pagado").alias("_pagado"),
+        to_cents(F.col("hasta10")).alias("hasta10"),
+        to_cents(F.col("hasta15")).alias("hasta15"),
+        to_cents(F.col("pagado")).alias("_pagado"),
         F.col("ultimo").alias("_ultimo"),
     )
     done = _of_period(accounts, year, month).groupBy("documentoID").agg(F.lit(1).alias("_done"))
@@ -166,15 +164,15 @@ def unit_accounts(
     )
     if mode == "reference":
         paid = by_account.where(F.col("periodo") == previous).select(
-            "_cuenta", "pagos", F.col("ultimoPago").alias("ultimo")
+            "_cuenta", to_cents(F.col("pagos")).alias("pagos"), F.col("ultimoPago").alias("ultimo")
         )
         rows = rows.join(paid, "_cuenta", "left")
     else:
         rows = rows.withColumn("pagos", F.col("_pagado")).withColumn("ultimo", F.col("_ultimo"))
-    amounts = account_amounts(F.col, policy)
-    return rows.select(
-        "documentoID", "unidadFuncionalID", *[c.alias(n) for n, c in amounts.items()]
-    )
+    amounts = as_money(account_amounts(F.col, policy))
+    return rows.withColumn(
+        "coeficiente", (F.col("coeficiente").cast("decimal(4,2)") * 100).cast("bigint")
+    ).select("documentoID", "unidadFuncionalID", *amounts)
 
 
 def _of_period(frame: DataFrame, year: int, month: int) -> DataFrame:
@@ -194,8 +192,8 @@ def _previous_rows(documents: DataFrame, rows: DataFrame, year: int, month: int)
 def _totals_for_join(totals: DataFrame) -> DataFrame:
     return totals.select(
         "consorcioID",
-        F.col("expOrdinarias").alias("ordinario"),
-        F.col("expExtraordinarias").alias("extra"),
+        to_cents(F.col("expOrdinarias")).alias("ordinario"),
+        to_cents(F.col("expExtraordinarias")).alias("extra"),
     )
 
 
@@ -336,7 +334,13 @@ def charge_history(
         "TotalesGastos": totals,
         "Estado_Financiero": position_history(charged, paid_by_building(lines, units), mode),
         "Estado_Cuentas": account_history(
-            units, charged, paid_by_account(lines), paid_by_unit(lines), policy, mode
+            units,
+            charged,
+            paid_by_account(lines),
+            paid_by_unit(lines),
+            policy,
+            mode,
+            document_count=len(months) * buildings.count(),
         ),
     }
 

@@ -133,8 +133,7 @@ def link_costs(spark: SparkSession, folder: str) -> DataFrame:
     return linked.select("gastoExtraordinarioID", "documentoID", "consorcioID", "fecha")
 
 
-def _charged_documents(spark: SparkSession, folder: str, mode: str = "reference") -> DataFrame:
-    span = star.month_span(spark, folder)
+def _charged_documents(spark: SparkSession, folder: str, span, mode: str = "reference") -> DataFrame:
     return charges.documents_with_totals(
         star.documents(spark, folder, *span), _cost_totals(spark, folder, mode, span)
     )
@@ -142,7 +141,8 @@ def _charged_documents(spark: SparkSession, folder: str, mode: str = "reference"
 
 def _position(spark: SparkSession, folder: str, mode: str) -> DataFrame:
     paid = paid_by_building(star.collected_orders(spark, folder), star.units(spark, folder))
-    return position_history(_charged_documents(spark, folder, mode), paid, mode)
+    span = star.month_span(spark, folder)
+    return position_history(_charged_documents(spark, folder, span, mode), paid, mode)
 
 
 def financial_position(spark: SparkSession, folder: str) -> DataFrame:
@@ -155,12 +155,15 @@ def financial_position_strict(spark: SparkSession, folder: str) -> DataFrame:
 
 def _accounts(spark: SparkSession, folder: str, policy: str) -> DataFrame:
     lines = star.collected_orders(spark, folder)
+    span = star.month_span(spark, folder)
+    (y0, m0), (y1, m1) = span
     return account_history(
         star.units(spark, folder),
-        _charged_documents(spark, folder),
+        _charged_documents(spark, folder, span),
         paid_by_account(lines),
         paid_by_unit(lines),
         policy,
+        document_count=star.buildings(spark, folder).count() * (y1 * 12 + m1 - y0 * 12 - m0 + 1),
     )
 
 

@@ -13,7 +13,13 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Integer arithmetic on cents must fail on overflow, not wrap around.
+    "spark.sql.ansi.enabled": "true",
+    # HotSpot does not compile methods above 8000 bytes; wide rows of decimals
+    # get there, and then run faster without whole-stage code.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # The history fold is bound by CPU, not by bytes: small inputs still spread.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
 }
 
 

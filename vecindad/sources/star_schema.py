@@ -10,16 +10,44 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType, TimestampNTZType
 
 from vecindad.functions.dates import index_month, index_year, month_index
-from vecindad.schemas import MONEY
+from vecindad.schemas import INT, LONG, MONEY, TEXT
+
+REAL, TIME = DoubleType(), TimestampNTZType()
 
 # A unit pays between 0.25 and 4.00 percent of its building's costs.
 SHARE_STEPS = 16
 
 
+# Columns of the test tables that are used here.
+COLUMNS = {
+    "nation": {"n_nationkey": INT, "n_name": TEXT},
+    "customer": {
+        "c_custkey": LONG, "c_name": TEXT, "c_nationkey": INT, "c_acctbal": REAL,
+        "c_mktsegment": TEXT,
+    },
+    "supplier": {"s_suppkey": LONG, "s_name": TEXT, "s_nationkey": INT, "s_acctbal": REAL},
+    "part": {"p_partkey": LONG, "p_name": TEXT, "p_retailprice": REAL},
+    "orders": {
+        "o_orderkey": LONG, "o_custkey": LONG, "o_orderstatus": TEXT, "o_totalprice": REAL,
+        "o_orderdate": TIME, "o_orderpriority": TEXT,
+    },
+    "lineitem": {
+        "l_orderkey": LONG, "l_partkey": LONG, "l_suppkey": LONG, "l_linenumber": INT,
+        "l_extendedprice": REAL, "l_returnflag": TEXT, "l_linestatus": TEXT, "l_shipdate": TIME,
+    },
+    "events": {
+        "event_id": LONG, "ts": TIME, "user_id": LONG, "event_type": TEXT, "value": REAL,
+        "props": TEXT,
+    },
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    schema = StructType([StructField(c, kind) for c, kind in COLUMNS[name].items()])
+    return spark.read.schema(schema).parquet(f"{folder}/{name}.parquet")
 
 
 def amount(column: str) -> Column:
