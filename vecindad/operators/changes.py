@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vecindad.operators.joins import lookup_join
+
 
 def insert_if_missing(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``new`` whose key does not occur in ``existing``.
@@ -49,7 +51,7 @@ def update_from_join(
         F.lit(True).alias("_found"),
         *[F.col(c).alias(f"_new_{c}") for c in dict.fromkeys(assign.values())],
     )
-    joined = target.join(renamed, list(keys), "left")
+    joined = lookup_join(target, renamed, keys, "left")
     hit = F.col("_found").isNotNull()
     if only_when is not None:
         hit = hit & only_when

@@ -27,6 +27,7 @@ from vecindad.operators.interest import (
     to_cents,
     zero_if_null,
 )
+from vecindad.operators.joins import lookup_join
 
 # A month of a building takes about this much; broadcasts stay below the limit.
 BYTES_PER_DOCUMENT = 64
@@ -81,9 +82,7 @@ def _monthly_documents(documents: DataFrame, count: int | None) -> DataFrame:
     ``seguido`` says that the element before is the month before, ``seguido2``
     that the same holds for the one before that; ``egresosPrevios`` is the outgo
     of the month before.  ``count`` is an upper bound on the number of documents.
-    Only if it is known and small is the result marked for broadcast; otherwise
-    the join is a shuffle join, in which adaptive execution splits large
-    buildings.
+    Only if it is known and small is the result marked for broadcast.
     """
     packed = documents.groupBy("consorcioID").agg(
         F.sort_array(
@@ -111,7 +110,7 @@ def _monthly_documents(documents: DataFrame, count: int | None) -> DataFrame:
 
     packed = packed.select("consorcioID", F.transform("_lista", look_back).alias("_meses"))
     if count is not None and count * BYTES_PER_DOCUMENT <= BROADCAST_LIMIT:
-        return F.broadcast(packed)
+        return packed.hint("broadcast")
     return packed
 
 
@@ -167,9 +166,12 @@ def account_history(
         "consorcioID",
         (F.col("coeficiente").cast("decimal(4,2)") * 100).cast("bigint").alias("coeficiente"),
     )
-    ready = own.join(
+    with_payments = own.join(
         _payments_of_units(units, by_account, by_unit, mode), "unidadFuncionalID", "left"
-    ).join(_monthly_documents(documents, document_count), "consorcioID")
+    )
+    ready = lookup_join(
+        with_payments, _monthly_documents(documents, document_count), ["consorcioID"]
+    )
 
     def lookups(month) -> dict[str, Column]:
         """What was paid in the month before, found in the maps of the unit."""

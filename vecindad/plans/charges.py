@@ -24,6 +24,7 @@ from vecindad.operators.changes import insert_if_missing, update_from_join
 from vecindad.operators.costs import check_mode, monthly_cost_totals, period_cost_totals
 from vecindad.operators.history import account_history, position_history
 from vecindad.operators.interest import account_amounts, as_money, position_amounts, to_cents
+from vecindad.operators.joins import lookup_join
 from vecindad.operators.payments import (
     collected,
     paid_by_account,
@@ -155,12 +156,15 @@ def unit_accounts(
     )
     done = _of_period(accounts, year, month).groupBy("documentoID").agg(F.lit(1).alias("_done"))
     current = _of_period(documents, year, month).join(done, "documentoID", "left_anti")
+    charged = current.select("documentoID", "consorcioID").join(
+        _totals_for_join(totals), "consorcioID", "left"
+    )
     rows = (
-        units.withColumn("_cuenta", comparable(F.col("CBU_CVU")))
-        .join(current.select("documentoID", "consorcioID"), "consorcioID")
+        lookup_join(
+            units.withColumn("_cuenta", comparable(F.col("CBU_CVU"))), charged, ["consorcioID"]
+        )
         .join(before, "unidadFuncionalID", "left")
         .join(due, "unidadFuncionalID", "left")
-        .join(_totals_for_join(totals), "consorcioID", "left")
     )
     if mode == "reference":
         paid = by_account.where(F.col("periodo") == previous).select(

@@ -40,7 +40,11 @@ def stream_payments(
     )
 
     def intake(batch: DataFrame, batch_id: int) -> None:
-        store_payments(batch.sparkSession, root, batch, f"{name}-{batch_id}", mode=mode)
+        # The query id lives in the checkpoint: a new checkpoint counts from 0
+        # again, but never into the partitions of an older one.
+        session = batch.sparkSession
+        query_id = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+        store_payments(session, root, batch, f"{name}-{query_id}-{batch_id}", mode=mode)
 
     writer = (
         lines.writeStream.queryName(name)
