@@ -350,8 +350,13 @@ def charge_history(
 
 
 def documents_with_totals(documents: DataFrame, totals: DataFrame) -> DataFrame:
-    """Documents of the months in ``totals``, with their building's totals."""
-    return documents.select("documentoID", "consorcioID", "anio", "mes").join(
+    """Documents of the months in ``totals``, with their building's totals.
+
+    Lists of months are exploded on both sides, which size estimates do not see;
+    so neither is left to be broadcast on the strength of an estimate.
+    """
+    charged = documents.select("documentoID", "consorcioID", "anio", "mes")
+    return charged.hint("merge").join(
         totals.select("consorcioID", "anio", "mes", "expOrdinarias", "expExtraordinarias"),
         ["consorcioID", "anio", "mes"],
     ).select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -37,13 +38,16 @@ def build_session(app: str = "vecindad", master: str | None = None, **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a session that names none (a local test) gets a folder of its own.
+    Only a local session that names none (a test) gets a folder of its own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-    folder = tempfile.mkdtemp(prefix="vecindad-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_dir()
+
+
+@functools.cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="vecindad-")

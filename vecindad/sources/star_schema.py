@@ -170,7 +170,11 @@ def month_span(spark: SparkSession, folder: str) -> tuple[tuple[int, int], tuple
 def documents(
     spark: SparkSession, folder: str, first: tuple[int, int], last: tuple[int, int]
 ) -> DataFrame:
-    """A charge document for every building and month from ``first`` to ``last``."""
+    """A charge document for every building and month from ``first`` to ``last``.
+
+    The hint keeps it from being broadcast: its estimated size leaves out that
+    the months are exploded.
+    """
     span = F.sequence(F.lit(first[0] * 12 + first[1] - 1), F.lit(last[0] * 12 + last[1] - 1))
     rows = buildings(spark, folder).select("consorcioID", F.explode(span).alias("periodo"))
     return rows.select(
@@ -178,7 +182,7 @@ def documents(
         "consorcioID",
         index_year(F.col("periodo")).alias("anio"),
         index_month(F.col("periodo")).alias("mes"),
-    )
+    ).hint("merge")
 
 
 def early_documents(spark: SparkSession, folder: str) -> DataFrame:
