@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 
 def try_decimal(text: Column, precision: int, scale: int) -> Column:
     """Decimal value of ``text`` or NULL; exponent notation is no amount."""
-    plain = F.when(~text.contains("e") & ~text.contains("E"), text)
-    return plain.try_cast(f"decimal({precision},{scale})")
+    return F.translate(text, "eE", "xx").try_cast(f"decimal({precision},{scale})")
 
 
 def parse_amount(text: Column) -> Column:

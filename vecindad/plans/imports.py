@@ -263,6 +263,8 @@ def store_payments(
         file_date,
         mode,
     )
+    # Sorted inside each file, so that a month is found by row-group statistics.
+    results["Detalle_CSV"] = results["Detalle_CSV"].sortWithinPartitions("fechaPago")
     for name in ("Detalle_CSV", "Pago", "CSV_Importado"):
         results[name].write.mode("overwrite").parquet(f"{root}/{name}/lote={batch}")
 
