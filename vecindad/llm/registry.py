@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from vecindad.llm import packing
+from vecindad.llm import decontamination, packing, substrings
 
 QUERIES = {
+    "op6_repeated_passages": substrings.op6_repeated_passages,
+    "op7_decontamination": decontamination.op7_decontamination,
     "op10_packing": packing.op10_packing,
 }
 
