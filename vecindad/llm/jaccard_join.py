@@ -13,8 +13,9 @@ Sets that are equal are one node from the start, so groups of copies cost one ro
 Candidates come from the groups of a prefix token.  First every member is paired
 with the member that has the fewest tokens of its own, the centre of a family of
 near copies; verified links give components.  Then only members that share a token
-but not yet a component are paired: no link between components is lost, and no
-group is expanded into all its pairs.
+but not yet a component are paired, and only if the tokens that no other open set
+has leave enough to share: no link between components is lost, and no group is
+expanded into all its pairs.
 
 Counts of tokens, joins and labels are distributed and stored in the shared folder;
 a token or node is a 64-bit hash.
@@ -160,26 +161,24 @@ def prefix_column(n, percent: int):
     return n - F.floor((n * percent + 99) / 100) + 1
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, homes: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes that link.  homes: one row key for each node."""
-    wanted = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "node")
-    keys = homes.join(wanted, "node").select("_key").distinct()
+def _loaded(nodes: DataFrame, texts: DataFrame, homes: DataFrame, shingle: int) -> DataFrame:
+    """The sorted sets of these nodes, read again from one document of each.  homes: one row key for each node."""
+    keys = homes.join(nodes, "node").select("_key").distinct()
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, blobs = [], []
-            for _, tokens in sets(batch.column(0), shingle):
-                nodes.append(node_of(tokens))
-                blobs.append(tokens.tobytes())
+            found = {node_of(tokens): tokens.tobytes() for _, tokens in sets(batch.column(0), shingle)}
             yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes, pa.int64()), pa.array(blobs, pa.binary())], names=["node", "tokens"]
+                [pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())], names=["node", "tokens"]
             )
 
-    # Rows that share a key may have other sets too: only nodes of the pairs are kept, each once.
-    loaded = stored(
-        texts.join(keys, "_key", "left_semi").select("text").mapInArrow(load, "node long, tokens binary")
-    ).join(wanted, "node", "left_semi")
-    loaded = loaded.groupBy("node").agg(F.first("tokens").alias("tokens"))
+    # Rows that share a key may have other sets too: only these nodes are kept, each once.
+    rows = texts.join(keys, "_key", "left_semi").select("text").mapInArrow(load, "node long, tokens binary")
+    return rows.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("tokens").alias("tokens"))
+
+
+def _verified(pairs: DataFrame, loaded: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes that link."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,11 +193,34 @@ def _verified(pairs: DataFrame, texts: DataFrame, homes: DataFrame, shingle: int
     left = loaded.select(F.col("node").alias("a"), F.col("tokens").alias("_one"))
     right = loaded.select(F.col("node").alias("b"), F.col("tokens").alias("_two"))
     return (
-        pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "_one", "_two")
+        pairs.select("a", "b")
+        .join(left, "a")
+        .join(right, "b")
+        .select("a", "b", "_one", "_two")
         .mapInArrow(compare, "a long, b long")
     )
 
 
+def _alone(loaded: DataFrame) -> DataFrame:
+    """(node, alone): tokens that no other loaded set has."""
+
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(1)]
+            if parts:
+                nodes = np.repeat(batch.column(0).to_numpy(), [len(x) for x in parts])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts)), pa.array(nodes)], names=["token", "node"])
+
+    return (
+        loaded.mapInArrow(tokens, "token long, node long")
+        .groupBy("token")
+        .agg(F.count("*").alias("_df"), F.min("node").alias("node"))
+        .where("_df = 1")
+        .groupBy("node")
+        .agg(F.count("*").alias("alone"))
+    )
+
+
 def links(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
     """Whether two sorted sets link: the prefixes of both hash orders first, then all of them."""
     p, q = prefix(len(one), percent), prefix(len(two), percent)
@@ -228,28 +250,46 @@ def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> D
     )
     prefixes = stored(_prefixes(texts, homes.select("node", "n", "held"), shingle, percent))
 
-    centre = prefixes.groupBy("token").agg(F.min(F.struct("own", "node", "n")).alias("_c"), F.count("*").alias("_m")).where("_m > 1")
-    stars = stored(
+    loaded = stored(_loaded(prefixes.select("node").distinct(), texts, homes, shingle))
+    centre = (
+        prefixes.groupBy("token").agg(F.min(F.struct("own", "node", "n")).alias("_c"), F.count("*").alias("_m")).where("_m > 1")
+    )
+    stars = (
         prefixes.join(centre, "token")
         .where((F.col("node") != F.col("_c.node")) & _fit(F.col("n"), F.col("_c.n"), percent))
         .select(F.col("node").alias("a"), F.col("_c.node").alias("b"))
         .distinct()
     )
-    first = stored(_verified(stars, texts, homes, shingle, percent))
-    groups = components(first)
-
-    labelled = prefixes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed_ = labelled.groupBy("token").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low <> _high")
-    still = stored(labelled.join(mixed_.select("token"), "token", "left_semi").select("token", "node", "n", "component"))
-    other = still.select("token", F.col("node").alias("b"), F.col("n").alias("_n"), F.col("component").alias("_other"))
-    rest = stored(
+    first = stored(_verified(stars, loaded, percent))
+
+    labelled = prefixes.join(components(first), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    several = (
+        labelled.groupBy("token")
+        .agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
+        .where("_low <> _high")
+    )
+    open_ = labelled.join(several.select("token"), "token", "left_semi")
+    left = open_.select("node").distinct()
+    alone = _alone(loaded.join(left, "node", "left_semi"))
+    still = stored(
+        open_.join(alone, "node", "left")
+        .withColumn("_may", F.col("n") - F.coalesce("alone", F.lit(0)))
+        .where(100 * F.col("_may") >= percent * F.col("n"))
+        .select("token", "node", "n", "component", "_may")
+    )
+    other = still.select(
+        "token", F.col("node").alias("b"), F.col("n").alias("_n"), F.col("component").alias("_other"), F.col("_may").alias("_may_b")
+    )
+    # What both may share at most must be enough for the union that it leaves.
+    enough = (100 + percent) * F.least("_may", "_may_b") >= percent * (F.col("n") + F.col("_n"))
+    rest = (
         still.withColumnRenamed("node", "a")
         .join(other, "token")
-        .where((F.col("component") < F.col("_other")) & _fit(F.col("n"), F.col("_n"), percent))
+        .where((F.col("component") < F.col("_other")) & _fit(F.col("n"), F.col("_n"), percent) & enough)
         .select("a", "b")
         .distinct()
     )
-    second = _verified(rest, texts, homes, shingle, percent)
+    second = _verified(rest, loaded, percent)
     groups = components(first.union(second))
 
     named = homes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))

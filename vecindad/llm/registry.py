@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from vecindad.llm import decontamination, packing, substrings
+from vecindad.llm import decontamination, jaccard_join, packing, substrings
 
 QUERIES = {
     "op6_repeated_passages": substrings.op6_repeated_passages,
     "op7_decontamination": decontamination.op7_decontamination,
+    "op9_jaccard_components": jaccard_join.op9_jaccard_components,
     "op10_packing": packing.op10_packing,
 }
 
