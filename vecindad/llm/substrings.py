@@ -166,15 +166,18 @@ def nodes(docs: DataFrame, window: int) -> DataFrame:
 
 
 def _places(docs: DataFrame, window: int) -> DataFrame:
-    """(node, _key): the anchors of each document, once for each slice."""
+    """(node, _key): the different anchors of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column(0).to_numpy()
             for at, _, _, _, w in _slices(batch.column(1)):
                 if (a := anchors(w, window)) is not None and len(a.at):
-                    key = keys[at + np.searchsorted(w.first, a.at, side="right") - 1]
-                    yield pa.RecordBatch.from_arrays([_signed(a.code), pa.array(key)], names=["node", "_key"])
+                    owner = np.searchsorted(w.first, a.at, side="right") - 1
+                    once = np.unique(a.code + mixed(owner.astype(np.uint64)), return_index=True)[1]
+                    yield pa.RecordBatch.from_arrays(
+                        [_signed(a.code[once]), pa.array(keys[at + owner[once]])], names=["node", "_key"]
+                    )
 
     return docs.select("_key", F.col("text").cast("string").alias("text")).mapInArrow(run, "node long, _key long")
 
@@ -182,9 +185,11 @@ def _places(docs: DataFrame, window: int) -> DataFrame:
 def _marked(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
     """Documents with a row key, and the repeated nodes of each key."""
     keyed = docs.withColumn("_key", row_key(F.col("doc_id"), F.col("text")))
+    # Stored, so that both sides of the join are shuffled for it alone and hot nodes can be split.
+    found = stored(nodes(docs, window))
     marks = (
         _places(keyed, window)
-        .join(nodes(docs, window), "node")
+        .join(found, "node")
         .groupBy("_key")
         .agg(F.collect_set(F.struct("node", "out", "into")).alias("_nodes"))
         .select("_key", F.col("_nodes.node").alias("_node"), F.col("_nodes.out").alias("_out"), F.col("_nodes.into").alias("_into"))
