@@ -10,12 +10,14 @@ are used, and a pair must pass all of them before its sets are compared:
 * ascending hash and descending hash: the two ends of a sorted set, at no cost.
 
 Sets that are equal are one node from the start, so groups of copies cost one row.
-Candidates come from the groups of a prefix token.  First every member is paired
-with the member that has the fewest tokens of its own, the centre of a family of
-near copies; verified links give components.  Then only members that share a token
-but not yet a component are paired, and only if the tokens that no other open set
-has leave enough to share: no link between components is lost, and no group is
-expanded into all its pairs.
+Sets with a partner in the counted class are loaded, and tokens that no other of them
+has bound what a set can share; sets that cannot link are left out.  The others are
+put in the rare-first order of all their tokens, and the rank of a shared token bounds
+what two sets share from it on.  First every member of a token's group is paired with
+the one that has the fewest tokens of its own, the centre of a family of near copies;
+verified links give components.  Then only members that share a token but not yet a
+component are paired, within the same bounds: no link between components is lost, and
+no group is expanded into all its pairs.
 
 Counts of tokens, joins and labels are distributed and stored in the shared folder;
 a token or node is a 64-bit hash.
@@ -128,7 +130,7 @@ def _tokens(texts: DataFrame, shingle: int, percent: int) -> DataFrame:
 
 
 def _prefixes(texts: DataFrame, sizes: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """(token, node, n, own): the shared tokens of each prefix in the rare-first order; own: tokens of no other set."""
+    """(token, node, n): the shared tokens of each prefix in the rare-first order."""
     counts = _tokens(texts, shingle, percent).groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     counted = F.pmod(F.expr("token"), F.lit(CLASSES)) == 0
     # Unsigned and signed hashes have the same residue, as 2^64 is a multiple of the number of classes.
@@ -150,10 +152,9 @@ def _prefixes(texts: DataFrame, sizes: DataFrame, shingle: int, percent: int) ->
         by_node.select(
             "node",
             "n",
-            own.alias("own"),
             F.concat(F.slice(F.array_sort(inside), F.lit(1), take), beyond).alias("_first"),
         )
-        .select("node", "n", "own", F.explode("_first.token").alias("token"))
+        .select("node", "n", F.explode("_first.token").alias("token"))
     )
 
 
@@ -201,8 +202,8 @@ def _verified(pairs: DataFrame, loaded: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _alone(loaded: DataFrame) -> DataFrame:
-    """(node, alone): tokens that no other loaded set has."""
+def _exploded(loaded: DataFrame) -> DataFrame:
+    """(token, node) of all tokens of loaded sets."""
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,8 +212,13 @@ def _alone(loaded: DataFrame) -> DataFrame:
                 nodes = np.repeat(batch.column(0).to_numpy(), [len(x) for x in parts])
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts)), pa.array(nodes)], names=["token", "node"])
 
+    return loaded.select("node", "tokens").mapInArrow(tokens, "token long, node long")
+
+
+def _alone(loaded: DataFrame) -> DataFrame:
+    """(node, alone): tokens that no other loaded set has."""
     return (
-        loaded.mapInArrow(tokens, "token long, node long")
+        _exploded(loaded)
         .groupBy("token")
         .agg(F.count("*").alias("_df"), F.min("node").alias("node"))
         .where("_df = 1")
@@ -221,6 +227,26 @@ def _alone(loaded: DataFrame) -> DataFrame:
     )
 
 
+def _ranked(loaded: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """(token, node, n, may, rank): the prefix of each loaded set in the rare-first order of all its
+    tokens, counted among the loaded sets; may: tokens that others have."""
+    counts = _exploded(loaded).groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    shared = (
+        _exploded(loaded)
+        .join(counts, "token")
+        .groupBy("node")
+        .agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("_shared"))
+        .join(sizes, "node")
+    )
+    may = F.size("_shared")
+    length = F.greatest(F.lit(0), prefix_column(F.col("n"), percent) - (F.col("n") - may)).cast("int")
+    return (
+        shared.select("node", "n", may.alias("may"), F.slice("_shared.token", F.lit(1), length).alias("_first"))
+        .select("node", "n", "may", F.posexplode("_first").alias("_i", "token"))
+        .select("token", "node", "n", "may", (F.col("n") - F.col("may") + F.col("_i")).alias("rank"))
+    )
+
+
 def links(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
     """Whether two sorted sets link: the prefixes of both hash orders first, then all of them."""
     p, q = prefix(len(one), percent), prefix(len(two), percent)
@@ -236,9 +262,15 @@ def _common(one: np.ndarray, two: np.ndarray) -> int:
     return int(np.count_nonzero(x[1:] == x[:-1]))
 
 
-def _fit(a, b, percent: int):
-    """Sizes that two linked sets may have."""
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+def _fit(one: tuple, two: tuple, percent: int):
+    """Whether two sets (n, may, rank of a shared token) may link by that token.
+
+    They have to share ``need`` tokens: as many must be shared with others at all, and as
+    many must be left from the shared token on, if it is the first one in the order.
+    """
+    (n, may, rank), (m, may_, rank_) = (map(F.col, names) for names in (one, two))
+    need = F.ceil((n + m) * percent / (100 + percent) - 1e-9)
+    return (F.least(may, may_) >= need) & (n - rank >= need) & (m - rank_ >= need)
 
 
 def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -251,41 +283,38 @@ def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> D
     prefixes = stored(_prefixes(texts, homes.select("node", "n", "held"), shingle, percent))
 
     loaded = stored(_loaded(prefixes.select("node").distinct(), texts, homes, shingle))
-    centre = (
-        prefixes.groupBy("token").agg(F.min(F.struct("own", "node", "n")).alias("_c"), F.count("*").alias("_m")).where("_m > 1")
+    sizes = homes.select("node", "n")
+    able = (
+        loaded.join(_alone(loaded), "node", "left")
+        .join(sizes, "node")
+        .where(100 * (F.col("n") - F.coalesce("alone", F.lit(0))) >= percent * F.col("n"))
     )
-    stars = (
-        prefixes.join(centre, "token")
-        .where((F.col("node") != F.col("_c.node")) & _fit(F.col("n"), F.col("_c.n"), percent))
-        .select(F.col("node").alias("a"), F.col("_c.node").alias("b"))
-        .distinct()
+    ranked = stored(_ranked(stored(able.select("node", "tokens")), sizes, percent))
+    mine, theirs = ("n", "may", "rank"), ("_n", "_may", "_rank")
+    centre = (
+        ranked.groupBy("token")
+        .agg(F.min(F.struct((1 - F.col("may") / F.col("n")).alias("own"), "node", "n", "may", "rank")).alias("_c"), F.count("*").alias("_m"))
+        .where("_m > 1")
+        .select("token", F.col("_c.node").alias("b"), *[F.col(f"_c.{x}").alias(f"_{x}") for x in mine])
     )
-    first = stored(_verified(stars, loaded, percent))
+    fit = _fit(mine, theirs, percent)
+    stars = ranked.withColumnRenamed("node", "a").join(centre, "token").where((F.col("a") != F.col("b")) & fit)
+    first = stored(_verified(stars.select("a", "b").distinct(), loaded, percent))
 
-    labelled = prefixes.join(components(first), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    labelled = ranked.join(components(first), "node", "left").withColumn("component", F.coalesce("component", "node"))
     several = (
         labelled.groupBy("token")
         .agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
         .where("_low <> _high")
     )
-    open_ = labelled.join(several.select("token"), "token", "left_semi")
-    left = open_.select("node").distinct()
-    alone = _alone(loaded.join(left, "node", "left_semi"))
-    still = stored(
-        open_.join(alone, "node", "left")
-        .withColumn("_may", F.col("n") - F.coalesce("alone", F.lit(0)))
-        .where(100 * F.col("_may") >= percent * F.col("n"))
-        .select("token", "node", "n", "component", "_may")
-    )
+    still = stored(labelled.join(several.select("token"), "token", "left_semi"))
     other = still.select(
-        "token", F.col("node").alias("b"), F.col("n").alias("_n"), F.col("component").alias("_other"), F.col("_may").alias("_may_b")
+        "token", F.col("node").alias("b"), F.col("component").alias("_other"), *[F.col(x).alias(f"_{x}") for x in mine]
     )
-    # What both may share at most must be enough for the union that it leaves.
-    enough = (100 + percent) * F.least("_may", "_may_b") >= percent * (F.col("n") + F.col("_n"))
     rest = (
         still.withColumnRenamed("node", "a")
         .join(other, "token")
-        .where((F.col("component") < F.col("_other")) & _fit(F.col("n"), F.col("_n"), percent) & enough)
+        .where((F.col("component") < F.col("_other")) & fit)
         .select("a", "b")
         .distinct()
     )
