@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from vecindad.llm import decontamination, jaccard_join, packing, substrings
+from vecindad.llm import class_ngrams, decontamination, jaccard_join, outliers, packing, pages, substrings, toxicity
 
 QUERIES = {
+    "op1_outliers": outliers.op1_outliers,
+    "op3_class_ngrams": class_ngrams.op3_class_ngrams,
+    "op4_page_text": pages.op4_page_text,
+    "op5_toxicity": toxicity.op5_toxicity,
     "op6_repeated_passages": substrings.op6_repeated_passages,
     "op7_decontamination": decontamination.op7_decontamination,
     "op9_jaccard_components": jaccard_join.op9_jaccard_components,
