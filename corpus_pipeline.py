@@ -1,18 +1,60 @@
-"""The corpus pipeline: stages over ``documents``, each stored before the next reads it."""
+"""The corpus pipeline: stages over ``documents``, each stored before the next reads it.
+
+1. toxicity: documents that the noisy-or model rejects go.
+2. near_duplicates: of the documents that links on word shingles lead to, the one with
+   the least id stays (one row of it, if rows repeat).
+3. repeated_passages: words covered by windows of 35 words that occur anywhere else go.
+4. decontamination: passages of benchmark windows go.
+5. packing: pieces of token sequences.
+
+A document is kept with what is left of its text, also if that is empty, and n_chars
+follows the text.  All stages but the last return the columns of their input.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vecindad.llm import packing
+from vecindad.llm import decontamination, jaccard_join, packing, substrings, toxicity
 from vecindad.llm.tables import read, stored
 
 
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def _counted(docs: DataFrame) -> DataFrame:
+    if "n_chars" not in docs.columns:
+        return docs
+    kind = docs.schema["n_chars"].dataType
+    return docs.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+
+
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).where(~toxicity.rejected(F.col("_score"))).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard_join.representatives(docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return _counted(substrings.clean(docs))
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return _counted(decontamination.clean(docs, read(spark, sf_dir, "benchmark")))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs)
 
 
-STAGES = [("packing", pack)]
+STAGES = [
+    ("toxicity", toxic),
+    ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
+    ("decontamination", decontaminated),
+    ("packing", packed),
+]
 
 ORACLE_SQL = None
 

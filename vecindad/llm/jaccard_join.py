@@ -75,7 +75,10 @@ def node_of(tokens: np.ndarray) -> int:
 def _texts(docs: DataFrame) -> DataFrame:
     key = row_key(F.col("doc_id"), F.col("text"))
     return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), key.alias("_key"), F.col("text").cast("string").alias("text")
+        F.col("doc_id").cast("long").alias("doc_id"),
+        key.alias("_key"),
+        F.col("text").cast("string").alias("text"),
+        F.xxhash64("text").alias("_text"),
     )
 
 
@@ -88,10 +91,12 @@ def _nodes(texts: DataFrame, shingle: int) -> DataFrame:
             for row, tokens in sets(batch.column(2), shingle):
                 out[row] = node_of(tokens), len(tokens), np.count_nonzero(tokens % np.uint64(CLASSES) == 0)
             empty = out[:, 1] == 0
-            columns = [batch.column(0), batch.column(1), pa.array(out[:, 0], mask=empty), pa.array(out[:, 1]), pa.array(out[:, 2])]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "_key", "node", "n", "held"])
+            columns = [batch.column(0), batch.column(1), batch.column(3), pa.array(out[:, 0], mask=empty)]
+            columns += [pa.array(out[:, 1]), pa.array(out[:, 2])]
+            names = ["doc_id", "_key", "_text", "node", "n", "held"]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return texts.mapInArrow(run, "doc_id long, _key long, node long, n long, held long")
+    return texts.mapInArrow(run, "doc_id long, _key long, _text long, node long, n long, held long")
 
 
 def _tokens(texts: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -273,8 +278,8 @@ def _fit(one: tuple, two: tuple, percent: int):
     return (F.least(may, may_) >= need) & (n - rank >= need) & (m - rank_ >= need)
 
 
-def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Per document: set size and the least id among all that links lead to."""
+def _components(docs: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, _text, node, n), and each node's component with its least id."""
     texts = _texts(docs)
     rows = stored(_nodes(texts, shingle))
     homes = rows.where("node is not null").groupBy("node").agg(
@@ -323,11 +328,43 @@ def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> D
 
     named = homes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = named.join(names, "component").select("node", "component_id")
+    named = stored(named.join(names, "component").select("node", "component", "component_id"))
+    return rows, named
+
+
+def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """Per document: set size and the least id among all that links lead to."""
+    rows, named = _components(docs, shingle, percent)
     return rows.join(named, "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
 
+def representatives(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each component: the least id, then the least hash of its text.
+
+    Rows without words are linked with nothing and stay.
+    """
+    rows, named = _components(docs, shingle, percent)
+    member = rows.join(named, "node").groupBy("doc_id", "_text", "component_id", "component").agg(F.count("*").alias("_rows"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_text"))
+    chosen = member.groupBy("component").agg(first.alias("_first"))
+    stays = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_text").eqNullSafe(F.col("_first"))
+    member = stored(member.join(chosen, "component").select("doc_id", "_text", "_rows", stays.alias("_stays")))
+
+    def listed(some: DataFrame, how: str, of: DataFrame) -> DataFrame:
+        one = some.select(F.col("doc_id").alias("_id"), F.col("_text").alias("_hash"))
+        same = of["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(of["text"]) == F.col("_hash"))
+        return of.join(one, same, how)
+
+    kept = listed(member.where("not _stays"), "left_anti", docs)
+    twice = member.where("_stays and _rows > 1")
+    if twice.isEmpty():
+        return kept
+    return listed(twice, "left_anti", kept).unionByName(
+        listed(twice, "left_semi", kept).dropDuplicates(["doc_id", "text"])
+    )
+
+
 def op9_jaccard_components(spark: SparkSession, folder: str) -> DataFrame:
     return linked(read(spark, folder, "documents"))

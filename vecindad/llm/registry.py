@@ -2,15 +2,28 @@
 
 from __future__ import annotations
 
-from vecindad.llm import class_ngrams, decontamination, jaccard_join, outliers, packing, pages, substrings, toxicity
+from vecindad.llm import (
+    class_ngrams,
+    decontamination,
+    jaccard_join,
+    licenses,
+    outliers,
+    packing,
+    pages,
+    rule_ensemble,
+    substrings,
+    toxicity,
+)
 
 QUERIES = {
     "op1_outliers": outliers.op1_outliers,
+    "op2_rule_ensemble": rule_ensemble.op2_rule_ensemble,
     "op3_class_ngrams": class_ngrams.op3_class_ngrams,
     "op4_page_text": pages.op4_page_text,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_repeated_passages": substrings.op6_repeated_passages,
     "op7_decontamination": decontamination.op7_decontamination,
+    "op8_licenses": licenses.op8_licenses,
     "op9_jaccard_components": jaccard_join.op9_jaccard_components,
     "op10_packing": packing.op10_packing,
 }
