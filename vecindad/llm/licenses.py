@@ -21,6 +21,7 @@ columns are left out.
 
 from __future__ import annotations
 
+import math
 import string
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,8 +29,10 @@ from pyspark.sql import functions as F
 
 from vecindad.llm.tables import read, stored
 
-#: Rare words of a template in the index, and rare words of a file that are looked up.
-RARE_WORDS = 4
+#: Rare words of a template in the index, at most; a word in more than one of ten documents is
+#: none, unless it is the rarest.  And rare words of a file that are looked up.
+RARE_WORDS = 10
+RARE_IDF = math.log(10)
 FILE_WORDS = 12
 COVERAGE = 0.5
 
@@ -113,7 +116,9 @@ def index(frequencies: DataFrame, n_docs: int, rare_words: int = RARE_WORDS) ->
         .agg(F.max("idf").alias("idf"))
         .groupBy("template")
         .agg(F.slice(F.sort_array(F.collect_list(F.struct("idf", "w")), asc=False), 1, rare_words).alias("_best"))
-        .select("template", F.explode("_best.w").alias("w"))
+        .select("template", F.posexplode("_best").alias("_rank", "_b"))
+        .where((F.col("_rank") == 0) | (F.col("_b.idf") >= RARE_IDF))
+        .select("template", F.col("_b.w").alias("w"))
     )
     return ranked.join(best, ["template", "w"]).select("w", "idf", "template", "place")
 

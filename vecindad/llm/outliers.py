@@ -43,7 +43,7 @@ FLOOR = 0.1
 VALUE_BIN, DISTANCE_BIN = 0.02, 0.01
 
 VECTOR = {
-    "_x0": lambda: F.log(F.col("word_chars") / F.col("n_words")),
+    "_x0": lambda: F.log(F.col("word_chars") / F.greatest(F.col("n_words"), F.lit(1))),
     "_x1": lambda: F.log((F.col("n_symbols") + 0.5) / (F.col("word_chars") + 1)),
     "_x2": lambda: F.log((F.col("n_dup_lines") + 1) / (F.col("n_lines") + 2)),
     "_x3": lambda: F.log((F.col("n_repeat_words") + 20) / (F.col("n_words") + 20)),
