@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Texts of one slice hold about this many bytes; a longer text is a slice of its own.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
