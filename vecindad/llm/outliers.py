@@ -156,7 +156,8 @@ def estimates(rows: DataFrame) -> DataFrame:
     for _ in range(STEPS):
         now = stored(now)
         measured = levels.join(now, "_key").select("_key", *X, F.log(_distance() + 1e-9).alias("_d"))
-        edge = _by_bin(measured, ["_key"], F.col("_d"), DISTANCE_BIN, {"_edge": SHARE})
+        # One row per group, stored: its size is known when the rows are joined with it.
+        edge = stored(_by_bin(measured, ["_key"], F.col("_d"), DISTANCE_BIN, {"_edge": SHARE}))
         now = _estimate(measured.join(edge, "_key").where("_d < _edge"), factor)
     now = stored(now)
     near = levels.join(now, "_key").where(_distance() <= chi2_quantile(REWEIGHT, D)).select("_key", *X)
