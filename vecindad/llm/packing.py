@@ -41,8 +41,9 @@ STEP_TOKENS = 65_536
 #: A block is packed when it holds this many tokens.
 BLOCK_TOKENS = 1_000_000
 #: Words kept with their ids in a worker; then the memory starts anew.
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 250_000
 END = 1
+_END = np.array([END], "<u4").tobytes()
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -69,10 +70,11 @@ class WordTokenizer:
         self._whole = Tokenizer.from_file(path)
         self._model = self._whole.model
         self._byte = _byte_letters()
-        self._parts: dict[str, list[int]] = {}
-        self._chunks: dict[str, list[int]] = {}
+        self._parts: dict[str, bytes] = {}
+        self._chunks: dict[str, bytes] = {}
 
-    def ids(self, text: str) -> list[int]:
+    def ids(self, text: str) -> np.ndarray:
+        """The ids of a text and the end."""
         known, out = self._parts, []
         if _OTHER.search(text) or "<|" in text:
             known = self._chunks
@@ -80,22 +82,27 @@ class WordTokenizer:
                 got = known.get(chunk)
                 if got is None:
                     got = self._keep(known, chunk, self._whole.encode(chunk, add_special_tokens=False).ids)
-                out += got
-            return out
+                out.append(got)
+            return self._joined(out)
         for part in _PARTS.findall(text.lower()):
             got = known.get(part)
             if got is None:
                 letters = "".join([self._byte[b] for b in part.encode()])
                 got = self._keep(known, part, [t.id for t in self._model.tokenize(letters)])
-            out += got
-        return out
+            out.append(got)
+        return self._joined(out)
 
     @staticmethod
-    def _keep(known: dict, key: str, ids: list[int]) -> list[int]:
+    def _joined(parts: list[bytes]) -> np.ndarray:
+        parts.append(_END)
+        return np.frombuffer(b"".join(parts), "<u4")
+
+    @staticmethod
+    def _keep(known: dict, key: str, ids: list[int]) -> bytes:
         if len(known) >= KNOWN_WORDS:
             known.clear()
-        known[key] = ids
-        return ids
+        known[key] = value = np.array(ids, "<u4").tobytes()
+        return value
 
 
 def _byte_letters() -> list[str]:
@@ -237,9 +244,7 @@ def pack(docs: DataFrame, path: str | None = None, tiers: tuple[int, ...] = TIER
 
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = words.ids(text.as_py() or "")
-                ids.append(END)
-                packer.add(doc, np.array(ids, "<u4"))
+                packer.add(doc, words.ids(text.as_py() or ""))
                 if packer.tokens >= BLOCK_TOKENS:
                     yield from rows(False)
         yield from rows(True)
