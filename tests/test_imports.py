@@ -59,7 +59,9 @@ def test_units(spark, tmp_path, newline):
     assert rows_of(new, *columns) == [row, row]
     strict = imports.import_units(staged, t["Consorcio"], t["Unidad_Funcional"], "strict")
     assert rows_of(strict, *columns) == [row]
-    assert rows_of(imports.rejected_units(staged, t["Consorcio"]), "piso", "coeficiente") == [("3", None)]
+    assert new.select("unidadFuncionalID").distinct().count() == 2  # the repeat has an id of its own
+    rejected = imports.rejected_units(staged, t["Consorcio"])
+    assert {r.coeficiente for r in rejected.collect()} == {D("1.00"), None}
 
 
 def test_unit_accounts(spark, tmp_path):
@@ -132,7 +134,7 @@ def test_payments(spark, tmp_path):
         detail = out["Detalle_CSV"].where("unidadFuncionalID = 11").collect()
         assert sum(r.copias for r in detail) == copies
         assert sum(r.importe * r.copias for r in detail) == 500 * copies
-        assert rows_of(out["rechazados"], "IdPago") == [(5,), (6,)]
+        assert rows_of(out["rechazados"], "IdPago") == [(4,), (5,), (6,)]
         assert rows_of(out["CSV_Importado"], "nombreArchivo", "fechaCSV") == [
             ("pagos.csv", dt.date(2025, 11, 2))
         ]
@@ -206,3 +208,51 @@ def test_table_writers(spark, tmp_path):
     replace_partitions(units, other, ("consorcioID",))
     replace_partitions(units.where("consorcioID = 1").limit(1), other, ("consorcioID",))
     assert spark.read.parquet(other).count() == len(UNITS) - 1
+
+
+def test_amounts_quotes_and_cut_lines(spark, tmp_path):
+    """A decimal comma needs no quotes, a stray quote is a character, and nothing is lost unseen."""
+    text = (
+        "IdPago,fecha,CVU,Valor\n"
+        f"1,05/04/2025,{ACCOUNT[11]},$ 1.234,50\r\n"
+        f'2,05/04/2025,{ACCOUNT[11]},"$ 1.234,50"\n'
+        f'"3,05/04/2025,{ACCOUNT[11]},$ 7\n'
+        f"4,05/04/2025,{ACCOUNT[11]}\n"
+        f"5,05/04/2025,{ACCOUNT[11]},$ 8,25\n"
+    )
+    units = ledger(spark)["Unidad_Funcional"]
+    out = imports.import_payments(
+        payments(spark, tmp_path, "comas.csv", text), units, ledger(spark, CSV_Importado=[])["CSV_Importado"]
+    )
+    assert sorted(r.monto for r in out["Pago"].collect()) == [D("7.00"), D("8.25"), D("1234.50"), D("1234.50")]
+    assert [r.linea for r in out["rechazados"].collect()] == [f"4,05/04/2025,{ACCOUNT[11]}"]
+
+    persons = files.read_persons(
+        spark,
+        write(
+            tmp_path / "q.csv",
+            f'n;a;d;m;t;c;i\n"Ana;Paz;12345678;a@b;1;{ACCOUNT[11]};0\nLuis;"Gil;1234567;a@b;1;{ACCOUNT[12]};1\n'
+            f"Eva;Sol;12345679;a@b;1;{ACCOUNT[12]};x\n",
+        ),
+    )
+    owners = imports.import_owners(persons, units, ledger(spark)["Propietario"])
+    assert rows_of(owners, "nombre", "DNI") == [('"Ana', "12345678")]
+    assert rows_of(imports.rejected_persons(persons, units), "nombre") == [("Eva",)]
+
+
+def test_stored_jobs_keep_rejects(spark, tmp_path):
+    from vecindad.sinks.tables import append
+    from vecindad.sources.tables import read_stored
+
+    root, t = str(tmp_path / "store"), ledger(spark)
+    append(t["Consorcio"], f"{root}/Consorcio")
+    append(t["Unidad_Funcional"], f"{root}/Unidad_Funcional")
+    units = write(tmp_path / "u.txt", UNIT_FILE)
+    for _ in range(2):  # the second run finds everything stored
+        imports.store_unit_file(spark, root, units, "a")
+        imports.store_person_file(spark, root, write(tmp_path / "p.csv", PERSON_FILE), "a")
+    imports.store_payment_files(spark, root, write(tmp_path / "pagos.csv", PAYMENT_FILE), "a")
+    assert read_stored(spark, root, "Unidad_Funcional").count() == t["Unidad_Funcional"].count() + 2
+    rejected = spark.read.option("mergeSchema", "true").parquet(f"{root}/Rechazados")
+    counts = {r.tabla: r["count"] for r in rejected.groupBy("tabla").count().collect()}
+    assert counts == {"Pago": 3, "Persona": 2, "Unidad_Funcional": 2}

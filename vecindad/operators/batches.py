@@ -1,0 +1,161 @@
+"""Accounts of many units at once: a batch of units is taken through its months together.
+
+The rules are those of ``operators.interest``, for arrays in place of columns: whole
+cents, and a rest in 1e-4 cents that is rounded once, half away from zero.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+
+from vecindad.operators.interest import CENT_PARTS, FIRST_RATE, SECOND_RATE
+
+AMOUNTS = (
+    "saldoAnterior",
+    "pagosRecibidos",
+    "saldo",
+    "InteresesPorMora",
+    "expensasOrdinarias",
+    "expensasExtraordinarias",
+    "totalPagar",
+)
+
+#: Sums and products of amounts below this fit in 64 bits.
+LIMIT = 10**18
+_PERIODS = 1 << 20
+
+
+def times(amount: np.ndarray, rate, scale: int) -> tuple[np.ndarray, np.ndarray]:
+    whole, rest = np.divmod(amount, scale)
+    return whole * rate, rest * rate * (CENT_PARTS // scale)
+
+
+def rounded(*parts) -> np.ndarray:
+    whole = sum(p[0] if isinstance(p, tuple) else p for p in parts)
+    carry, rest = np.divmod(sum(p[1] for p in parts if isinstance(p, tuple)), CENT_PARTS)
+    whole = whole + carry
+    half = CENT_PARTS // 2
+    return whole + ((rest > half) | ((rest == half) & (whole >= 0)))
+
+
+def _only(parts, condition):
+    return tuple(np.where(condition, p, 0) for p in parts)
+
+
+def _numbers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Values, 0 for NULL, and where there is one."""
+    known = column.is_valid().to_numpy(zero_copy_only=False)
+    return column.fill_null(False if pa.types.is_boolean(column.type) else 0).to_numpy(zero_copy_only=False), known
+
+
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.StructArray]:
+    """Lengths and owners of a list column's elements, and the elements."""
+    lengths = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    return lengths, np.repeat(np.arange(len(column)), lengths), column.flatten()
+
+
+class _Paid:
+    """What a unit paid in a month: entries of one unit and month are added up."""
+
+    def __init__(self, column: pa.Array):
+        _, owner, entries = _flat(column)
+        period, _ = _numbers(entries.field("periodo"))
+        self.key, self._place = np.unique(owner * _PERIODS + period, return_inverse=True)
+        self._entries = entries
+
+    def add(self, name: str) -> np.ndarray:
+        total = np.zeros(len(self.key) + 1, np.int64)
+        np.add.at(total, self._place, _numbers(self._entries.field(name))[0].astype(np.int64))
+        return total
+
+    def last(self, name: str) -> np.ndarray:
+        """The greatest value; the least number there is where none is known."""
+        value, known = _numbers(self._entries.field(name))
+        total = np.full(len(self.key) + 1, np.iinfo(np.int64).min)
+        np.maximum.at(total, self._place[known], value[known].astype(np.int64))
+        return total
+
+    def at(self, owner: np.ndarray, period: np.ndarray) -> np.ndarray:
+        """Places of these units and months; the last place, with nothing in it, if they have none."""
+        key = owner * _PERIODS + period
+        place = np.searchsorted(self.key, key)
+        found = place < len(self.key)
+        found[found] = self.key[place[found]] == key[found]
+        return np.where(found, place, len(self.key))
+
+
+def accounts(batch: pa.RecordBatch, policy: str) -> pa.RecordBatch:
+    """One row for each unit of the batch and month of its building."""
+    unit, building, share, months, due, paid = batch.columns
+    lengths, owner, month = _flat(months)
+    position = np.arange(len(owner)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    period = _numbers(month.field("periodo"))[0].astype(np.int64)
+    ordinary, extra = (_numbers(month.field(n))[0].astype(np.int64) for n in ("ordinario", "extra"))
+    follows, follows2 = (_numbers(month.field(n))[0].astype(bool) for n in ("seguido", "seguido2"))
+    percent = _numbers(share)[0].astype(np.int64)[owner]
+
+    on_time, account = _Paid(due), _Paid(paid)
+    place = on_time.at(owner, period - 1)
+    by_10, by_15 = (on_time.add(n)[place] for n in ("hasta10", "hasta15"))
+    place = account.at(owner, period - 1)
+    amounts = account.add("pagos")
+    received, earlier = amounts[place], amounts[account.at(owner, period - 2)]
+    last = account.last("ultimo")[place]
+    never = last == np.iinfo(np.int64).min
+    day = np.where(never, 0, last).astype("datetime64[D]")
+    day = (day - day.astype("datetime64[M]")).astype(np.int64) + 1
+
+    for values in (ordinary, extra, received, earlier, by_10, by_15):
+        _check(values)
+    shares = times(ordinary, percent, CENT_PARTS), times(extra, percent, CENT_PARTS)
+    total = np.zeros(len(owner), np.int64)
+    previous, balance, late = (np.zeros(len(owner), np.int64) for _ in range(3))
+    order = np.argsort(position, kind="stable")
+    steps = np.searchsorted(position[order], np.arange(lengths.max(initial=0) + 1))
+    for a, b in zip(steps[:-1], steps[1:], strict=True):
+        k = order[a:b]
+        before = np.where(follows[k], total[k - 1], 0)
+        before_that = np.where(follows2[k], total[k - 2], 0)
+        owed = np.where(follows[k], before_that - earlier[k], 0)
+        open_ = before - received[k]
+        if policy == "partial_payment":
+            charge = before * (FIRST_RATE + SECOND_RATE) - by_10[k] * FIRST_RATE - by_15[k] * SECOND_RATE
+            interest = times(np.where(before > 0, np.maximum(charge, 0), 0), 1, 100)
+            total[k] = rounded(open_, interest, *(tuple(p[k] for p in s) for s in shares))
+            late[k] = rounded(interest)
+        elif policy == "last_payment":
+            # Due days of the current month: only a missing payment is late by them.
+            missing = (_only(times(x, r, 100), never[k]) for x, r in ((before, FIRST_RATE), (owed, SECOND_RATE)))
+            total[k] = np.maximum(rounded(open_, *missing, *(tuple(p[k] for p in s) for s in shares)), 0)
+            # Due days of the month before, in which the last payment lies.
+            over = (_only(times(before, r, 100), never[k] | (day[k] > d)) for r, d in ((FIRST_RATE, 10), (SECOND_RATE, 15)))
+            late[k] = rounded(*over)
+        else:
+            interest = times(before, FIRST_RATE, 100), times(owed, SECOND_RATE, 100)
+            total[k] = rounded(open_ + ordinary[k] + extra[k], *interest)
+            late[k] = rounded(*interest)
+        _check(total[k])
+        previous[k] = before
+        balance[k] = -open_ if policy == "partial_payment" else open_
+    columns = {
+        "unidadFuncionalID": unit.take(pa.array(owner)),
+        "consorcioID": building.take(pa.array(owner)),
+        "documentoID": month.field("documentoID"),
+        "periodo": pa.array(period),
+        "saldoAnterior": previous,
+        "pagosRecibidos": received,
+        "saldo": balance,
+        "InteresesPorMora": late,
+        "expensasOrdinarias": rounded(shares[0]),
+        "expensasExtraordinarias": rounded(shares[1]),
+        "totalPagar": total,
+    }
+    return pa.RecordBatch.from_arrays(
+        [c if isinstance(c, pa.Array) else pa.array(c, pa.int64()) for c in columns.values()], names=list(columns)
+    )
+
+
+def _check(cents: np.ndarray) -> None:
+    if len(cents) and max(int(cents.max()), -int(cents.min())) > LIMIT:
+        raise OverflowError("an amount is beyond 1e18 cents")

@@ -3,9 +3,11 @@
 A month's account needs the total of the month before, so months cannot be
 computed independently.  Instead of running one job per month, all inputs are
 first summed by key and month; then each key holds one short array, one element
-per month of the span.  A fold walks through it and carries nothing but the
-running total; every other amount follows from it row by row.  The length of
-the array is the number of months, never the number of payments or costs.
+per month of the span, never as long as the payments or costs.
+
+The accounts of units are the large table: an Arrow batch of units is taken through
+its months together, one step of exact integer arithmetic for each month over all
+units of the batch.  The few buildings' positions come from a fold over their months.
 """
 
 from __future__ import annotations
@@ -17,23 +19,17 @@ from pyspark.sql import functions as F
 
 from vecindad.functions.dates import index_month, index_year
 from vecindad.functions.text import comparable
+from vecindad.operators import batches
 from vecindad.operators.costs import check_mode
 from vecindad.operators.interest import (
-    account_amounts,
-    account_total,
     as_money,
+    check_policy,
     final_balance,
     position_amounts,
     to_cents,
-    zero_if_null,
 )
 from vecindad.operators.joins import lookup_join
 
-# A month of a building takes about this much; broadcasts stay below the limit.
-BYTES_PER_DOCUMENT = 64
-BROADCAST_LIMIT = 32 << 20
-
-
 def running_totals(months: Column, total: Callable[[Column, Column, Column], Column]) -> Column:
     """Array of totals (cents), each computed from the ones before it.
 
@@ -76,13 +72,12 @@ def _one_row_per_month(frame: DataFrame, keep: Sequence[str]) -> DataFrame:
     )
 
 
-def _monthly_documents(documents: DataFrame, count: int | None) -> DataFrame:
+def _monthly_documents(documents: DataFrame) -> DataFrame:
     """One row per building with its documents as an array ordered by month.
 
     ``seguido`` says that the element before is the month before, ``seguido2``
     that the same holds for the one before that; ``egresosPrevios`` is the outgo
-    of the month before.  ``count`` is an upper bound on the number of documents.
-    Only if it is known and small is the result marked for broadcast.
+    of the month before.
     """
     packed = documents.groupBy("consorcioID").agg(
         F.sort_array(
@@ -108,43 +103,55 @@ def _monthly_documents(documents: DataFrame, count: int | None) -> DataFrame:
             (one & two).alias("seguido2"),
         )
 
-    packed = packed.select("consorcioID", F.transform("_lista", look_back).alias("_meses"))
-    if count is not None and count * BYTES_PER_DOCUMENT <= BROADCAST_LIMIT:
-        return packed.hint("broadcast")
-    return packed
+    return packed.select("consorcioID", F.transform("_lista", look_back).alias("_meses"))
 
 
 def _payments_of_units(
     units: DataFrame, by_account: DataFrame, by_unit: DataFrame, mode: str
 ) -> DataFrame:
-    """Per unit two maps from month to what was paid in it.
+    """Per unit two lists of what was paid in a month.
 
     ``_paid``: amount and last day; ``_due``: paid by the two due days.  In
     reference mode the amount is found by the unit's account, in strict mode by
     the unit itself, like the other two.
     """
+    due = F.struct(
+        F.col("periodo").cast("long").alias("periodo"),
+        to_cents(F.col("hasta10")).alias("hasta10"),
+        to_cents(F.col("hasta15")).alias("hasta15"),
+    )
 
-    def entry(*fields: Column) -> Column:
-        return F.struct("periodo", F.struct(*fields))
+    def entry(amount: str, last: str) -> Column:
+        return F.struct(
+            F.col("periodo").cast("long").alias("periodo"),
+            to_cents(F.col(amount)).alias("pagos"),
+            F.unix_date(F.col(last)).alias("ultimo"),
+        )
 
-    due = entry(to_cents(F.col("hasta10")).alias("hasta10"), to_cents(F.col("hasta15")).alias("hasta15"))
     if mode == "strict":
-        paid = entry(to_cents(F.col("pagado")).alias("pagos"), F.col("ultimo"))
-        entries = by_unit.select("unidadFuncionalID", due.alias("_due"), paid.alias("_paid"))
+        entries = by_unit.select(
+            "unidadFuncionalID", due.alias("_due"), entry("pagado", "ultimo").alias("_paid")
+        )
     else:
         accounts = units.where(F.col("CBU_CVU").isNotNull()).select(
             "unidadFuncionalID", comparable(F.col("CBU_CVU")).alias("_cuenta")
         )
-        paid = entry(to_cents(F.col("pagos")).alias("pagos"), F.col("ultimoPago").alias("ultimo"))
         entries = by_unit.select("unidadFuncionalID", due.alias("_due")).unionByName(
-            by_account.join(accounts, "_cuenta").select("unidadFuncionalID", paid.alias("_paid")),
+            by_account.join(accounts.distinct(), "_cuenta").select(
+                "unidadFuncionalID", entry("pagos", "ultimoPago").alias("_paid")
+            ),
             allowMissingColumns=True,
         )
     return entries.groupBy("unidadFuncionalID").agg(
-        *[F.map_from_entries(F.collect_list(c)).alias(c) for c in ("_due", "_paid")]
+        *[F.collect_list(c).alias(c) for c in ("_due", "_paid")]
     )
 
 
+ACCOUNT_ROWS = "unidadFuncionalID long, consorcioID long, documentoID long, periodo long, " + ", ".join(
+    f"{name} long" for name in batches.AMOUNTS
+)
+
+
 def account_history(
     units: DataFrame,
     documents: DataFrame,
@@ -152,15 +159,15 @@ def account_history(
     by_unit: DataFrame,
     policy: str = "partial_payment",
     mode: str = "reference",
-    document_count: int | None = None,
 ) -> DataFrame:
     """Accounts of every unit for every document of its building.
 
     ``documents``: (consorcioID, periodo, documentoID, expOrdinarias,
-    expExtraordinarias), at most ``document_count`` rows.  ``by_account`` /
-    ``by_unit``: payments summed by month (see ``operators.payments``).
+    expExtraordinarias).  ``by_account`` / ``by_unit``: payments summed by month
+    (see ``operators.payments``).
     """
     check_mode(mode)
+    check_policy(policy)
     own = units.select(
         "unidadFuncionalID",
         "consorcioID",
@@ -169,59 +176,22 @@ def account_history(
     with_payments = own.join(
         _payments_of_units(units, by_account, by_unit, mode), "unidadFuncionalID", "left"
     )
-    ready = lookup_join(
-        with_payments, _monthly_documents(documents, document_count), ["consorcioID"]
+    ready = lookup_join(with_payments, _monthly_documents(documents), ["consorcioID"]).select(
+        "unidadFuncionalID", "consorcioID", "coeficiente", "_meses", "_due", "_paid"
     )
 
-    def lookups(month) -> dict[str, Column]:
-        """What was paid in the month before, found in the maps of the unit."""
-        paid = F.try_element_at(F.col("_paid"), month("periodo") - 1)
-        due = F.try_element_at(F.col("_due"), month("periodo") - 1)
-        earlier = F.try_element_at(F.col("_paid"), month("periodo") - 2)
-        return {
-            "pagos": paid["pagos"],
-            "ultimo": paid["ultimo"],
-            "hasta10": due["hasta10"],
-            "hasta15": due["hasta15"],
-            "pagosAntes": earlier["pagos"],
-            "coeficiente": F.col("coeficiente"),
-        }
-
-    def balance_before(month, before_that: Column, paid_earlier: Column) -> Column:
-        balance = zero_if_null(before_that) - zero_if_null(paid_earlier)
-        return F.when(month("seguido"), balance)
-
-    def total(month: Column, before: Column, before_that: Column) -> Column:
-        known = lookups(lambda n: month[n])
-        known["previo"] = before
-        known["saldoPrevio"] = balance_before(
-            lambda n: month[n], before_that, known["pagosAntes"]
-        )
-        return account_total(lambda n: known[n] if n in known else month[n], policy)
+    def run(parts):
+        for part in parts:
+            yield batches.accounts(part, policy)
 
-    folded = ready.withColumn("_total", running_totals(F.col("_meses"), total))
-    keys = ["unidadFuncionalID", "consorcioID", "coeficiente"]
-    rows = _one_row_per_month(folded, [*keys, "_paid", "_due"])
-    found = lookups(F.col)
-    months = rows.select(
-        *keys,
-        "documentoID",
-        "periodo",
-        "ordinario",
-        "extra",
-        "total",
-        F.col("antes").alias("previo"),
-        balance_before(F.col, F.col("antes2"), found["pagosAntes"]).alias("saldoPrevio"),
-        *[found[n].alias(n) for n in ("pagos", "ultimo", "hasta10", "hasta15")],
-    )
-    amounts = {**account_amounts(F.col, policy), "totalPagar": F.col("total")}
+    months = ready.mapInArrow(run, ACCOUNT_ROWS)
     return months.select(
         "unidadFuncionalID",
         "consorcioID",
         "documentoID",
-        *as_money(amounts),
-        index_year(F.col("periodo")).alias("anio"),
-        index_month(F.col("periodo")).alias("mes"),
+        *as_money({name: F.col(name) for name in batches.AMOUNTS}),
+        index_year(F.col("periodo")).cast("int").alias("anio"),
+        index_month(F.col("periodo")).cast("int").alias("mes"),
     )
 
 
@@ -238,7 +208,7 @@ def position_history(
     payments = by_building.groupBy("consorcioID").agg(
         F.map_from_entries(F.collect_list(paid_entry)).alias("_pagos")
     )
-    ready = _monthly_documents(documents, None).join(payments, "consorcioID", "left")
+    ready = _monthly_documents(documents).join(payments, "consorcioID", "left")
 
     def paid(name: str, period: Column) -> Column:
         return F.try_element_at(F.col("_pagos"), period - 1)[name]

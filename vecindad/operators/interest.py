@@ -1,13 +1,15 @@
 """Late interest and the monthly account of a unit, as column expressions.
 
-All amounts in here are whole cents (bigint).  Shares of a building total carry
-four further decimals, so a sum of parts is built in units of 1e-4 cents and
-rounded once, half away from zero.  Integer arithmetic is exact, fast inside a
-fold, and an overflow is an error (ANSI mode) -- at 9.2e12 units of currency,
-above the declared size of the balance columns.
-
-The same expressions serve one month at a time (plain columns) and a whole
-history at a time (struct fields inside a fold).
+All amounts in here are whole cents (bigint).  A share of a building total carries
+four further decimals, so an amount under way is a pair: whole cents, and a rest in
+units of 1e-4 cents.  Products are taken of quotient and remainder apart, sums of each
+part, and the pair is rounded once, half away from zero.  That is exact up to 9e16
+units of currency, wherever the parts of a sum fit; beyond it an overflow is an
+error (ANSI mode).
+
+The same expressions serve one month at a time (plain columns) and, for buildings, a
+whole history at a time (struct fields inside a fold).  ``operators.history`` has
+them once more for arrays of units.
 """
 
 from __future__ import annotations
@@ -43,33 +45,62 @@ def zero_if_null(value: Column) -> Column:
     return F.coalesce(value, F.lit(0).cast("bigint"))
 
 
-def rounded(parts: Column) -> Column:
-    """Units of 1e-4 cents to cents, half away from zero."""
-    return F.call_function("div", F.round(parts, -4), F.lit(CENT_PARTS))
+def _div(value: Column, by: int) -> Column:
+    """Quotient towards minus infinity."""
+    return F.call_function("div", value - F.pmod(value, F.lit(by)), F.lit(by))
 
 
-def late_interest(previous: Column, paid_by_10: Column, paid_by_15: Column) -> Column:
+class Parts:
+    """Whole cents and a rest in 1e-4 cents, which may exceed a cent until rounded."""
+
+    def __init__(self, whole: Column, rest: Column | None = None):
+        self.whole, self.rest = whole, F.lit(0).cast("bigint") if rest is None else rest
+
+    def __add__(self, other: Parts) -> Parts:
+        return Parts(self.whole + other.whole, self.rest + other.rest)
+
+    def only_if(self, condition: Column | None) -> Parts:
+        if condition is None:
+            return self
+        return Parts(*[zero_if_null(F.when(condition, x)) for x in (self.whole, self.rest)])
+
+
+def times(amount: Column, rate: Column | int, scale: int) -> Parts:
+    """``amount * rate / scale``; ``scale`` divides 1e4."""
+    rate = F.lit(rate).cast("bigint") if isinstance(rate, int) else rate
+    rest = F.pmod(amount, F.lit(scale))
+    return Parts(_div(amount, scale) * rate, rest * rate * (CENT_PARTS // scale))
+
+
+def rounded(parts: Parts) -> Column:
+    """Whole cents, half away from zero."""
+    whole = parts.whole + _div(parts.rest, CENT_PARTS)
+    rest, half = F.pmod(parts.rest, F.lit(CENT_PARTS)), CENT_PARTS // 2
+    up = (rest > half) | ((rest == half) & (whole >= 0))
+    return whole + F.when(up, 1).otherwise(0).cast("bigint")
+
+
+def late_interest(previous: Column, paid_by_10: Column, paid_by_15: Column) -> Parts:
     """2 % of what was open after day 10 and 5 % of what was open after day 15.
 
-    Never negative, and 0 when nothing was due.  In units of 1e-4 cents.
+    Never negative, and 0 when nothing was due.
     """
     charge = (
         previous * (FIRST_RATE + SECOND_RATE)
         - zero_if_null(paid_by_10) * FIRST_RATE
         - zero_if_null(paid_by_15) * SECOND_RATE
     )
-    due = F.greatest(charge, F.lit(0).cast("bigint")) * (CENT_PARTS // 100)
-    return zero_if_null(F.when(previous > 0, due))
+    due = zero_if_null(F.when(previous > 0, F.greatest(charge, F.lit(0).cast("bigint"))))
+    return times(due, 1, 100)
 
 
-def share(total: Column, percent: Column) -> Column:
-    """Part of a building total, in units of 1e-4 cents; ``percent`` in hundredths."""
-    return zero_if_null(total) * percent
+def share(total: Column, percent: Column) -> Parts:
+    """Part of a building total; ``percent`` in hundredths."""
+    return times(zero_if_null(total), percent, CENT_PARTS)
 
 
-def _percent(amount: Column, rate: int, condition: Column | None = None) -> Column:
-    value = amount * (rate * CENT_PARTS // 100)
-    return value if condition is None else zero_if_null(F.when(condition, value))
+def _percent(amount: Column, rate: int, condition: Column | None = None) -> Parts:
+    return times(amount, rate, 100).only_if(condition)
 
 
 def account_total(month, policy: str = "partial_payment") -> Column:
@@ -82,7 +113,7 @@ def account_total(month, policy: str = "partial_payment") -> Column:
     """
     check_policy(policy)
     previous = zero_if_null(month("previo"))
-    open_parts = (previous - zero_if_null(month("pagos"))) * CENT_PARTS
+    open_parts = Parts(previous - zero_if_null(month("pagos")))
     shares = share(month("ordinario"), month("coeficiente")) + share(
         month("extra"), month("coeficiente")
     )
@@ -96,7 +127,7 @@ def account_total(month, policy: str = "partial_payment") -> Column:
         interest = _percent(previous, FIRST_RATE, never) + _percent(balance, SECOND_RATE, never)
         return F.greatest(rounded(open_parts + interest + shares), F.lit(0).cast("bigint"))
     interest = _percent(previous, FIRST_RATE) + _percent(balance, SECOND_RATE)
-    whole = (zero_if_null(month("ordinario")) + zero_if_null(month("extra"))) * CENT_PARTS
+    whole = Parts(zero_if_null(month("ordinario")) + zero_if_null(month("extra")))
     return rounded(open_parts + interest + whole)
 
 
@@ -141,7 +172,7 @@ def final_balance(month) -> Column:
         - zero_if_null(month("extra"))
     )
     interest = late_interest(month("egresosPrevios"), month("hasta10"), month("hasta15"))
-    return rounded(known * CENT_PARTS + interest)
+    return rounded(Parts(known) + interest)
 
 
 def position_amounts(month, mode: str = "reference") -> dict[str, Column]:

@@ -344,7 +344,6 @@ def charge_history(
             paid_by_unit(lines),
             policy,
             mode,
-            document_count=len(months) * buildings.count(),
         ),
     }
 

@@ -1,27 +1,29 @@
 """Import jobs: from staged text rows to rows of the stored tables.
 
 Each job takes the staged frame and the stored tables it depends on and returns
-the rows to add (or the changed table).  Nothing is written here, except by
-``store_payments``.  Text is compared without regard to case and trailing blanks.
+the rows to add (or the changed table).  Nothing is written here, except by the
+``store_*`` jobs.  Text is compared without regard to case and trailing blanks.
 
-Rows that the stored tables could not hold (a required value is missing) are
-not silently dropped: ``rejected_*`` returns them.
+Rows that the stored tables could not hold (a required value is missing or cannot
+be read) are not silently dropped: ``rejected_*`` returns them, and the ``store_*``
+jobs keep them under ``Rechazados`` before anything else is written.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vecindad.functions.amounts import decimal_comma
 from vecindad.functions.text import comparable, pad_id, surrogate, yes_flag
 from vecindad.operators.changes import insert_if_missing, one_row_per_key, update_from_join
 from vecindad.operators.costs import check_mode
-from vecindad.operators.payments import clean_lines, detail_lines, match_payments
+from vecindad.operators.payments import clean_lines, detail_lines, match_payments, typed_lines
 from vecindad.schemas import TABLES
-from vecindad.sources.files import read_payments
+from vecindad.sinks.tables import append
+from vecindad.sources.files import LINE, read_buildings, read_payments, read_persons, read_units
 from vecindad.sources.tables import read_stored
 
 
@@ -29,6 +31,20 @@ def _table(frame: DataFrame, name: str) -> DataFrame:
     return frame.select(*TABLES[name].fieldNames())
 
 
+def _distinct_ids(frame: DataFrame, name: str, key: list[str]) -> DataFrame:
+    """Ids of rows whose natural key repeats: the first keeps its own, each other gets one of its number."""
+    rest = [F.col(c) for c in TABLES[name].fieldNames() if c != name_of_id(name)]
+    number = F.row_number().over(Window.partitionBy(*key).orderBy(*rest))
+    column = name_of_id(name)
+    numbered = frame.withColumn("_numero", number)
+    other = surrogate(F.col(column), F.col("_numero"))
+    return numbered.withColumn(column, F.when(F.col("_numero") > 1, other).otherwise(F.col(column)))
+
+
+def name_of_id(name: str) -> str:
+    return TABLES[name].fieldNames()[0]
+
+
 # --- buildings ----------------------------------------------------------------
 def import_buildings(
     staged: DataFrame, buildings: DataFrame | None = None, mode: str = "reference"
@@ -43,6 +59,8 @@ def import_buildings(
         F.col("Domicilio").alias("direccion"),
         F.col("m2 totales").try_cast("decimal(6,2)").alias("superficieM2Total"),
     ).withColumn("consorcioID", surrogate(comparable(F.col("nombre"))))
+    if mode == "reference":
+        return _table(_distinct_ids(rows, "Consorcio", ["consorcioID"]), "Consorcio")
     rows = _table(rows, "Consorcio")
     if mode == "strict":
         rows = one_row_per_key(rows, ["consorcioID"])
@@ -62,7 +80,7 @@ def _staged_units(staged: DataFrame, buildings: DataFrame) -> DataFrame:
     names = buildings.select(
         "consorcioID", F.trim(F.upper("nombre")).alias("_nombre")
     )
-    placed = staged.withColumn("_nombre", F.trim(F.upper("NombreConsorcio"))).join(names, "_nombre")
+    placed = staged.withColumn("_nombre", F.trim(F.upper("NombreConsorcio"))).join(names, "_nombre", "left")
     return placed.select(
         surrogate(
             F.col("consorcioID"), comparable(F.col("Piso")), comparable(F.col("Departamento"))
@@ -79,7 +97,7 @@ def _staged_units(staged: DataFrame, buildings: DataFrame) -> DataFrame:
 
 
 def _unit_complete():
-    required = ("piso", "departamento", "superficieM2", "coeficiente")
+    required = ("consorcioID", "piso", "departamento", "superficieM2", "coeficiente")
     return ~F.array_contains(F.array(*[F.col(c).isNull() for c in required]), True)
 
 
@@ -101,11 +119,13 @@ def import_units(
     new = insert_if_missing(rows, keyed(units), ["consorcioID", "_piso", "_depto"])
     if mode == "strict":
         new = one_row_per_key(new, ["consorcioID", "_piso", "_depto"])
+    else:
+        new = _distinct_ids(new, "Unidad_Funcional", ["unidadFuncionalID"])
     return _table(new, "Unidad_Funcional")
 
 
 def rejected_units(staged: DataFrame, buildings: DataFrame) -> DataFrame:
-    """Staged units that lack a required value or have one that cannot be read."""
+    """Staged units of an unknown building, or that lack a required value or have one that cannot be read."""
     return _staged_units(staged, buildings).where(~_unit_complete())
 
 
@@ -133,8 +153,8 @@ def update_accounts(units: DataFrame, staged: DataFrame, buildings: DataFrame) -
 
 
 # --- persons ------------------------------------------------------------------
-def _clean_persons(staged: DataFrame, units: DataFrame) -> DataFrame:
-    """Persons with a valid identity number, at the units of their account."""
+def _placed_persons(staged: DataFrame, units: DataFrame) -> DataFrame:
+    """Cleaned persons at the units of their account; without one the unit is NULL."""
     accounts = units.where(F.col("CBU_CVU").isNotNull()).select(
         "unidadFuncionalID", comparable(F.col("CBU_CVU")).alias("_cuenta")
     )
@@ -147,8 +167,23 @@ def _clean_persons(staged: DataFrame, units: DataFrame) -> DataFrame:
         F.trim("CBU_CVU").alias("CBU_CVU"),
         comparable(F.col("CBU_CVU")).alias("_cuenta"),
         F.trim("EsInquilino").alias("_inquilino"),
-    ).where(F.col("DNI").isNotNull())
-    return cleaned.join(accounts, "_cuenta")
+    )
+    return cleaned.join(accounts, "_cuenta", "left")
+
+
+def _person_complete():
+    known = F.col("_inquilino").isin("0", "1")
+    return F.coalesce(F.col("DNI").isNotNull() & F.col("unidadFuncionalID").isNotNull() & known, F.lit(False))
+
+
+def _clean_persons(staged: DataFrame, units: DataFrame) -> DataFrame:
+    """Persons with a valid identity number and flag, at the units of their account."""
+    return _placed_persons(staged, units).where(_person_complete())
+
+
+def rejected_persons(staged: DataFrame, units: DataFrame) -> DataFrame:
+    """Staged persons without a valid identity number or tenant flag, or with an unknown account."""
+    return _placed_persons(staged, units).where(~_person_complete()).drop("_cuenta")
 
 
 def _new_persons(rows: DataFrame, known: DataFrame, mode: str) -> DataFrame:
@@ -219,18 +254,23 @@ def import_payments(
     ``staged`` carries the file name of each line.  ``stored`` are the payments
     of earlier imports, which reference mode matches again (see
     ``operators.payments``).  Lines without a readable amount are rejected, and
-    so are lines without a readable date, which give a payment but no detail.
+    so are lines without a readable date, which give a payment but no detail, and
+    lines read from a file that end before their amount.
     """
     check_mode(mode)
     fresh = not_yet_imported(staged, registry).withColumn("importacionID", import_id())
     cleaned = clean_lines(fresh)
     lines = cleaned.where(F.col("Valor").isNotNull())
+    rejected = cleaned.where(F.col("Valor").isNull() | F.col("Fecha").isNull())
+    if LINE in fresh.columns:
+        cut = fresh.where(F.coalesce(F.trim("Valor"), F.lit("")) == "")
+        rejected = rejected.unionByName(typed_lines(cut))
     matched = match_payments(lines, units)
     return {
         "Pago": _table(matched, "Pago"),
         "Detalle_CSV": detail_lines(lines, matched, stored, mode),
         "CSV_Importado": registry_rows(fresh, file_date),
-        "rechazados": cleaned.where(F.col("Valor").isNull() | F.col("Fecha").isNull()),
+        "rechazados": rejected,
     }
 
 
@@ -247,8 +287,8 @@ def store_payments(
 
     The rows of one call lie in the partition ``lote=<batch>`` of each table,
     which is overwritten: a call that was cut short is repeated with the same
-    ``batch`` and leaves no row twice.  The registry comes last, so a file only
-    counts as imported when all of its rows are stored.
+    ``batch`` and leaves no row twice.  Rejected lines are stored first and the registry
+    last, so a file only counts as imported when all of its lines are in some table.
     """
 
     def others(name: str) -> DataFrame:
@@ -265,6 +305,7 @@ def store_payments(
     )
     # Sorted inside each file, so that a month is found by row-group statistics.
     results["Detalle_CSV"] = results["Detalle_CSV"].sortWithinPartitions("fechaPago")
+    _store_rejected(results["rechazados"], root, "Pago", batch)
     for name in ("Detalle_CSV", "Pago", "CSV_Importado"):
         results[name].write.mode("overwrite").parquet(f"{root}/{name}/lote={batch}")
 
@@ -274,3 +315,27 @@ def store_payment_files(
 ) -> None:
     """``store_payments`` for a file, a folder or a list of files."""
     store_payments(spark, root, read_payments(spark, path), batch, **options)
+
+
+def _store_rejected(rows: DataFrame, root: str, table: str, batch: str) -> None:
+    rows.write.mode("overwrite").parquet(f"{root}/Rechazados/tabla={table}/lote={batch}")
+
+
+def store_building_file(spark: SparkSession, root: str, path: str, mode: str = "reference") -> None:
+    """Adds the buildings of a file."""
+    append(import_buildings(read_buildings(spark, path), read_stored(spark, root, "Consorcio"), mode), f"{root}/Consorcio")
+
+
+def store_unit_file(spark: SparkSession, root: str, path: str, batch: str, mode: str = "reference") -> None:
+    """Adds the units of a file that are not stored yet; units already stored are left alone, so it can be repeated."""
+    staged, buildings = read_units(spark, path), read_stored(spark, root, "Consorcio")
+    _store_rejected(rejected_units(staged, buildings), root, "Unidad_Funcional", batch)
+    append(import_units(staged, buildings, read_stored(spark, root, "Unidad_Funcional"), mode), f"{root}/Unidad_Funcional")
+
+
+def store_person_file(spark: SparkSession, root: str, path: str, batch: str, mode: str = "reference") -> None:
+    """Adds the owners and tenants of a file; known persons are left alone, so it can be repeated."""
+    staged, units = read_persons(spark, path), read_stored(spark, root, "Unidad_Funcional")
+    _store_rejected(rejected_persons(staged, units), root, "Persona", batch)
+    for name, job in (("Propietario", import_owners), ("Inquilino", import_tenants)):
+        append(job(staged, units, read_stored(spark, root, name), mode), f"{root}/{name}")

@@ -156,14 +156,12 @@ def financial_position_strict(spark: SparkSession, folder: str) -> DataFrame:
 def _accounts(spark: SparkSession, folder: str, policy: str) -> DataFrame:
     lines = star.collected_orders(spark, folder)
     span = star.month_span(spark, folder)
-    (y0, m0), (y1, m1) = span
     return account_history(
         star.units(spark, folder),
         _charged_documents(spark, folder, span),
         paid_by_account(lines),
         paid_by_unit(lines),
         policy,
-        document_count=star.buildings(spark, folder).count() * (y1 * 12 + m1 - y0 * 12 - m0 + 1),
     )
 
 

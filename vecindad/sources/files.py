@@ -1,13 +1,17 @@
 """Readers for the five kinds of input file.
 
-Every reader states its schema, skips the header line and leaves amounts and
-dates as text for the import jobs to convert.  A path may be a file, a folder
-or a pattern; one that matches nothing fails when the reader is called.
+Every reader takes whole lines, skips the header line and cuts each line with the
+column function of its kind, the same for batch and streaming.  Amounts and dates
+stay text for the import jobs to convert.  A quote is a character like any other,
+but in the building list (a spreadsheet page saved as CSV) and around an amount.
+The last column of a line runs to its end, so an amount keeps its decimal comma.
+A path may be a file, a folder or a pattern; one that matches nothing fails when
+the reader is called.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecindad.schemas import FILES
@@ -22,20 +26,57 @@ SEPARATORS = {
 }
 
 
-def file_options(kind: str) -> dict[str, str]:
-    """CSV options of one kind of file, for batch and streaming readers alike."""
+#: The whole line, kept beside what was read from it.
+LINE = "linea"
+_NEVER = "\x01"
+
+
+def line_options() -> dict[str, str]:
+    """CSV options that give whole lines and skip each file's header."""
     return {
-        "sep": SEPARATORS[kind],
+        "sep": _NEVER,
+        "quote": "",
         "header": "true",
+        "enforceSchema": "true",
         "encoding": "UTF-8",
-        "mode": "PERMISSIVE",
         "ignoreLeadingWhiteSpace": "false",
         "ignoreTrailingWhiteSpace": "false",
     }
 
 
+def parsed_line(kind: str, line: Column) -> Column:
+    """The fields of one line as a struct; a field that is missing or no number is NULL."""
+    fields = FILES[kind].fields
+    line = F.regexp_replace(line, r"\r$", "")
+    if kind == "buildings":
+        return F.from_csv(line, _ddl(kind))
+    parts = F.split(line, f"[{SEPARATORS[kind]}]", len(fields))
+    columns = []
+    for k, field in enumerate(fields):
+        value = F.get(parts, k)
+        if kind == "payments" and k == len(fields) - 1:
+            value = F.regexp_replace(value, r'^\s*"(.*)"\s*$', "$1")
+        if field.dataType.simpleString() != "string":
+            value = F.trim(value).try_cast(field.dataType)
+        else:
+            value = F.when(value != "", value)
+        columns.append(value.alias(field.name))
+    return F.struct(*columns)
+
+
+def _ddl(kind: str) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in FILES[kind].fields)
+
+
+def with_fields(lines: DataFrame, kind: str) -> DataFrame:
+    """``lines`` with the fields in place of the line, which stays as ``linea``."""
+    others = [c for c in lines.columns if c != LINE]
+    return lines.withColumn("_campos", parsed_line(kind, F.col(LINE))).select("_campos.*", *others, LINE)
+
+
 def read_file(spark: SparkSession, kind: str, path: str | list[str]) -> DataFrame:
-    return spark.read.schema(FILES[kind]).options(**file_options(kind)).csv(path)
+    lines = spark.read.schema(f"{LINE} string").options(**line_options()).csv(path)
+    return with_fields(lines, kind).drop(LINE)
 
 
 def read_buildings(spark: SparkSession, path: str) -> DataFrame:
@@ -55,10 +96,10 @@ def read_persons(spark: SparkSession, path: str) -> DataFrame:
     return read_file(spark, "persons", path)
 
 
-def with_file_name(payments: DataFrame) -> DataFrame:
-    """Adds the name of the file each line came from, as the registry keeps it."""
-    return payments.withColumn("nombreArchivo", F.col("_metadata.file_name"))
+def payment_lines(lines: DataFrame) -> DataFrame:
+    """Fields of payment lines, with the line itself and the name of its file as the registry keeps it."""
+    return with_fields(lines.withColumn("nombreArchivo", F.col("_metadata.file_name")), "payments")
 
 
 def read_payments(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return with_file_name(read_file(spark, "payments", path))
+    return payment_lines(spark.read.schema(f"{LINE} string").options(**line_options()).csv(path))

@@ -12,9 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from vecindad.plans.imports import store_payments
-from vecindad.schemas import FILES
-from vecindad.session import shared_dir
-from vecindad.sources.files import file_options, with_file_name
+from vecindad.sources.files import LINE, line_options, payment_lines
 
 
 def stream_payments(
@@ -22,22 +20,20 @@ def stream_payments(
     root: str,
     landing: str,
     *,
+    checkpoint: str,
     name: str = "payments",
-    checkpoint: str | None = None,
     mode: str = "reference",
     files_per_batch: int | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Starts the intake; with ``available_now`` it ends when all files are read.
 
-    ``checkpoint`` defaults to a folder below ``spark.checkpoint.dir``.
+    ``checkpoint`` remembers what was read: a folder that outlives the session.
     """
-    options = file_options("payments")
+    options = line_options()
     if files_per_batch is not None:
         options["maxFilesPerTrigger"] = str(files_per_batch)
-    lines = with_file_name(
-        spark.readStream.schema(FILES["payments"]).options(**options).csv(landing)
-    )
+    lines = payment_lines(spark.readStream.schema(f"{LINE} string").options(**options).csv(landing))
 
     def intake(batch: DataFrame, batch_id: int) -> None:
         # The query id lives in the checkpoint: a new checkpoint counts from 0
@@ -49,7 +45,7 @@ def stream_payments(
     writer = (
         lines.writeStream.queryName(name)
         .foreachBatch(intake)
-        .option("checkpointLocation", checkpoint or f"{shared_dir(spark)}/streams/{name}")
+        .option("checkpointLocation", checkpoint)
     )
     if available_now:
         writer = writer.trigger(availableNow=True)
