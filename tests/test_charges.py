@@ -215,3 +215,72 @@ def test_statement_owners(spark):
         (12, "Gil Eva", D("100000.00")),
         (12, "Gil Luis", D("100000.00")),
     ]
+
+
+def _store(spark, tables, root):
+    for name in ("Consorcio", "Unidad_Funcional", "Propietario", "Gasto_Ordinario", "Gasto_Extraordinario"):
+        append(tables[name], f"{root}/{name}")
+    append(tables["Detalle_CSV"], f"{root}/Detalle_CSV/lote=a")
+
+
+def test_very_large_amounts_are_exact(spark):
+    """Twenty costs of the declared maximum in one building and month, and a rest of a cent."""
+    top = "999999999999.99"
+    costs = [(k, None, 1, day("2025-05-20"), D(top)) for k in range(20)] + [(20, None, 1, day("2025-05-21"), D("0.21"))]
+    t = ledger(spark, Gasto_Ordinario=costs)
+    rows = run_period(t, 2025, 5, run_date=RUN)["Estado_Cuentas"].collect()
+    history = charge_history(t, (2025, 5), (2025, 5), run_date=RUN)
+    total = 20 * D(top) + D("0.21")
+    assert sum(r.expensasOrdinarias for r in rows) == total
+    assert sorted(r.totalPagar for r in rows) == sorted(r.totalPagar for r in history["Estado_Cuentas"].collect())
+    position = [r.saldoFinal for r in history["Estado_Financiero"].collect() if r.egresosTotales]
+    assert position == [-total]
+
+
+def test_restart_equals_a_clean_run_and_again_adds_positions(spark, tmp_path, monkeypatch):
+    from vecindad.plans import charges
+
+    tables, clean, cut = random_ledger(spark), str(tmp_path / "clean"), str(tmp_path / "cut")
+    for root in (clean, cut):
+        _store(spark, tables, root)
+    store_months(spark, clean, [(2025, 1), (2025, 2)], run_date=RUN)
+
+    def stops(frame, path, *rest):
+        if path.endswith("Estado_Cuentas"):
+            raise RuntimeError("lost")
+        append(frame, path, *rest)
+
+    monkeypatch.setattr(charges, "append", stops)
+    with pytest.raises(RuntimeError):
+        store_months(spark, cut, [(2025, 1)], run_date=RUN)
+    monkeypatch.undo()
+    store_months(spark, cut, [(2025, 1), (2025, 2)], run_date=RUN)
+    for name in ("Expensas", "Estado_Financiero", "Estado_Cuentas"):
+        columns = [c for c in read_stored(spark, clean, name).columns]
+        assert rows_of(read_stored(spark, cut, name), *columns) == rows_of(read_stored(spark, clean, name), *columns)
+    charges.store_period(spark, cut, 2025, 2, run_date=RUN, again=True)
+    assert read_stored(spark, cut, "Estado_Financiero").count() == 15
+
+
+def test_stored_weekly_report_has_linked_costs(spark, tmp_path):
+    from vecindad.plans.charges import stored_weekly_cash_flow
+
+    root = str(tmp_path / "store")
+    _store(spark, random_ledger(spark), root)
+    before = stored_weekly_cash_flow(spark, root, all_years=True).agg({"TotalExtraordinarios": "sum"}).first()[0]
+    assert not before
+    store_months(spark, root, [(2025, 1), (2025, 2)], run_date=RUN)
+    report = stored_weekly_cash_flow(spark, root, all_years=True)
+    assert report.agg({"TotalExtraordinarios": "sum"}).first()[0] > 0
+
+
+def test_statement_reads_one_month(spark, tmp_path):
+    from vecindad.plans.charges import unit_statement
+
+    root = str(tmp_path / "store")
+    _store(spark, random_ledger(spark), root)
+    store_months(spark, root, [(2025, 1), (2025, 2)], run_date=RUN)
+    names = ("Expensas", "Estado_Cuentas", "Unidad_Funcional", "Propietario")
+    plan = unit_statement(*[read_stored(spark, root, n) for n in names], 2025, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(anio" in plan and "documentoID" not in plan.split("Scan")[0]
+    assert f"{root}/Expensas" not in plan

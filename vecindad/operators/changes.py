@@ -28,6 +28,8 @@ def one_row_per_key(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
     rest = [c for c in frame.columns if c not in keys]
     if not rest:
         return frame.groupBy(*keys).agg(F.lit(1).alias("_one")).select(*frame.columns)
+    if len(rest) == 1:  # one fixed-width value is combined by hashing, without a sort
+        return frame.groupBy(*keys).agg(F.max(rest[0]).alias(rest[0])).select(*frame.columns)
     picked = frame.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_row"))
     return picked.select(*keys, "_row.*").select(*frame.columns)
 

@@ -85,7 +85,15 @@ def detail_lines(
     shared = ["unidadFuncionalID", "cuentaOrigen", "monto"]
     payments = matched.select(*shared)
     if stored is not None:
-        payments = payments.unionByName(stored.select(*shared))
+        # Of the history only what these lines can go with, before it is counted.
+        wanted = lines.where(F.col("Fecha").isNotNull()).select(
+            comparable(F.col("CVU_CBU")).alias("_cuenta"),
+            F.col("Valor").cast("decimal(14,2)").alias("_importe"),
+        )
+        same = (comparable(stored["cuentaOrigen"]) == F.col("_cuenta")) & (
+            stored["monto"].cast("decimal(14,2)") == F.col("_importe")
+        )
+        payments = payments.unionByName(stored.join(wanted.distinct(), same, "left_semi").select(*shared))
     payment_counts = payments.groupBy(
         "unidadFuncionalID",
         comparable(F.col("cuentaOrigen")).alias("_cuenta"),

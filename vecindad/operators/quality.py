@@ -128,6 +128,7 @@ def check_table(name: str, tables: Mapping[str, DataFrame]) -> DataFrame:
         parts.append(row_checks(frame, checks_of(rules)))
     if rules.key:
         parts.append(unique_key(frame, rules.key))
+    parts += [unique_key(frame.dropna(subset=list(key)), key) for key in rules.unique]
     for column, (parent, parent_key) in rules.parents.items():
         if parent in tables:
             parts.append(foreign_key(frame, column, tables[parent], parent_key))

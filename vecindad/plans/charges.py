@@ -31,7 +31,8 @@ from vecindad.operators.payments import (
     paid_by_building,
     paid_by_unit,
 )
-from vecindad.schemas import TABLES
+from vecindad.schemas import DELIVERY, TABLES
+from vecindad.plans.reports import weekly_cash_flow
 from vecindad.sinks.tables import append
 from vecindad.sinks.xml import write_statement_xml
 from vecindad.sources.tables import read_stored
@@ -70,7 +71,7 @@ def generate_documents(
         "anio",
         day.alias("fechaGenerado"),
         day.alias("fechaEnvio"),
-        F.lit("Mail").alias("medioEnvio"),
+        F.lit(DELIVERY[0]).alias("medioEnvio"),
         F.lit(True).alias("aPropietario"),
         F.lit(False).alias("aInquilino"),
     )
@@ -211,12 +212,17 @@ def unit_statement(
 ) -> DataFrame:
     """Statement lines of the period (of all periods without one).
 
+    Accounts that carry their period need no documents.
+
     A unit without owner is left out, one with several owners is repeated.
     """
+    if not set(PERIOD) <= set(accounts.columns):
+        accounts = accounts.join(documents.select("documentoID", *PERIOD), "documentoID")
+    # On the accounts themselves: their partitions are months.
     if year is not None:
-        documents = documents.where(F.col("anio") == year)
+        accounts = accounts.where(F.col("anio") == year)
     if month is not None:
-        documents = documents.where(F.col("mes") == month)
+        accounts = accounts.where(F.col("mes") == month)
     owner = owners.where(F.col("unidadFuncionalID").isNotNull()).select(
         "unidadFuncionalID",
         joined(" ", F.col("apellido"), F.col("nombre")).alias("Propietario"),
@@ -228,8 +234,7 @@ def unit_statement(
         joined("-", F.rpad("piso", 2, " "), F.col("departamento")).alias("PisoDepto"),
     )
     rows = (
-        accounts.drop("consorcioID", "anio", "mes")
-        .join(documents.select("documentoID", "anio", "mes"), "documentoID")
+        accounts.drop("consorcioID")
         .join(place, "unidadFuncionalID")
         .join(owner, "unidadFuncionalID")
     )
@@ -332,7 +337,10 @@ def charge_history(
     )
     documents = tables["Expensas"].unionByName(new_documents)
     charged = documents_with_totals(documents, totals)
-    lines = collected(tables["Detalle_CSV"])
+    # A month looks back two months at what was paid.
+    start = previous_period(*previous_period(*first))
+    span = within(F.col("fechaPago"), month_bounds(*start)[0], month_bounds(*last)[1])
+    lines = collected(tables["Detalle_CSV"].where(span))
     return {
         "Expensas": _in_order(new_documents, "Expensas"),
         "TotalesGastos": totals,
@@ -389,14 +397,16 @@ def store_period(
     policy: str = "partial_payment",
     run_date: dt.date | None = None,
     xml_root: str | None = None,
+    again: bool = False,
 ) -> None:
     """Runs a month on the tables stored under ``root`` and appends its rows.
 
     New documents are stored first and read back, so positions and accounts
     refer to stored rows; months are partitions, so a run reads only its own
     and the one before.  A run that was cut short can be started again: it adds
-    the documents and accounts that are still missing (and, in strict mode,
-    positions).  Costs stay as stored; :func:`link_costs` gives their documents.
+    the documents, positions and accounts that are still missing.  In reference mode
+    ``again`` asks for the positions once more, as running a month again does there.
+    Costs stay as stored; :func:`stored_costs` reads them with their documents.
     """
     year, month = resolve_period(year, month, run_date)
 
@@ -412,7 +422,11 @@ def store_period(
     results = run_period(
         {name: stored(name) for name in RUN_TABLES}, year, month, mode=mode, policy=policy
     )
-    add(results["Estado_Financiero"], "Estado_Financiero")
+    positions = results["Estado_Financiero"]
+    if not again:
+        done = _of_period(stored("Estado_Financiero"), year, month).select("documentoID")
+        positions = positions.join(done, "documentoID", "left_anti")
+    add(positions.select(*results["Estado_Financiero"].columns), "Estado_Financiero")
     add(results["Estado_Cuentas"], "Estado_Cuentas")
     if xml_root is not None:
         statement = unit_statement(
@@ -426,6 +440,22 @@ def store_period(
         write_statement_xml(statement, xml_root, year, month)
 
 
+def stored_costs(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A stored cost table with the documents of its buildings and months filled in."""
+    return link_costs(read_stored(spark, root, name), read_stored(spark, root, "Expensas"))
+
+
+def stored_weekly_cash_flow(spark: SparkSession, root: str, **options) -> DataFrame:
+    """The weekly report on the tables stored under ``root``."""
+    return weekly_cash_flow(
+        stored_costs(spark, root, "Gasto_Ordinario"),
+        stored_costs(spark, root, "Gasto_Extraordinario"),
+        read_stored(spark, root, "Expensas"),
+        read_stored(spark, root, "Consorcio"),
+        **options,
+    )
+
+
 def store_months(
     spark: SparkSession, root: str, periods: Sequence[tuple[int, int]], **options
 ) -> None:

@@ -21,7 +21,7 @@ from vecindad.functions.text import comparable, pad_id, surrogate, yes_flag
 from vecindad.operators.changes import insert_if_missing, one_row_per_key, update_from_join
 from vecindad.operators.costs import check_mode
 from vecindad.operators.payments import clean_lines, detail_lines, match_payments, typed_lines
-from vecindad.schemas import TABLES
+from vecindad.schemas import DELIVERY, TABLES
 from vecindad.sinks.tables import append
 from vecindad.sources.files import LINE, read_buildings, read_payments, read_persons, read_units
 from vecindad.sources.tables import read_stored
@@ -203,7 +203,7 @@ def import_owners(
     rows = rows.withColumns(
         {
             "IDPropietario": surrogate(F.col("DNI"), F.col("unidadFuncionalID")),
-            "modoEntrega": F.lit("Mail"),
+            "modoEntrega": F.lit(DELIVERY[0]),
         }
     )
     return _new_persons(_table(rows, "Propietario"), owners, mode)

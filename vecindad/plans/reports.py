@@ -52,13 +52,24 @@ def weekly_cash_flow(
     in_year = _years("fecha", year, year)
     period = [F.year("fecha").alias("Anio"), week_of_year(F.col("fecha")).alias("Semana")]
 
+    if building_id is not None:
+        ordinary = ordinary.where(F.col("consorcioID") == building_id)
+        documents = documents.where(F.col("consorcioID") == building_id)
+
+    def in_weeks(frame: DataFrame) -> DataFrame:
+        """Before the join, where it reaches the scan; the total starts at the first week reported."""
+        week = week_of_year(F.col("fecha"))
+        if first_week is not None:
+            frame = frame.where(week >= first_week)
+        return frame if last_week is None else frame.where(week <= last_week)
+
     by_week = (
-        ordinary.where(in_year)
+        in_weeks(ordinary.where(in_year))
         .groupBy("consorcioID", *period)
         .agg(F.sum("importeTotal").cast(TOTAL).alias("TotalOrdinarios"))
     )
     by_document = (
-        extraordinary.where(in_year)
+        in_weeks(extraordinary.where(in_year))
         .groupBy("documentoID", *period)
         .agg(F.sum("importeTotal").cast(TOTAL).alias("importe"))
     )
@@ -75,12 +86,6 @@ def weekly_cash_flow(
         F.coalesce("TotalOrdinarios", zero).alias("TotalOrdinarios"),
         F.coalesce("TotalExtraordinarios", zero).alias("TotalExtraordinarios"),
     )
-    if building_id is not None:
-        both = both.where(F.col("consorcioID") == building_id)
-    if first_week is not None:
-        both = both.where(F.col("Semana") >= first_week)
-    if last_week is not None:
-        both = both.where(F.col("Semana") <= last_week)
     named = both.join(
         buildings.select("consorcioID", F.col("nombre").alias("Consorcio")), "consorcioID"
     )

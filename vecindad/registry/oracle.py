@@ -108,6 +108,15 @@ flujo AS (
   FROM u JOIN nation ON n_nationkey = b)
 """
 
+_WEEKLY_PART = (
+    _WEEKLY.replace(
+        "AND o.semana = e.semana)",
+        "AND o.semana = e.semana WHERE coalesce(o.b, e.b) = 7 AND coalesce(o.anio, e.anio) = 1996"
+        " AND coalesce(o.semana, e.semana) BETWEEN 5 AND 40)",
+    )
+    + " SELECT * FROM flujo"
+)
+
 _MONTH_NAMES = (
     "Enero", "Febrero", "Marzo", "Abril", "Mayo", "Junio", "Julio", "Agosto",
     "Septiembre", "Octubre", "Noviembre", "Diciembre",
@@ -408,6 +417,25 @@ _NAMES = ", ".join(f"'{n.lower()}'" for n in _MONTH_NAMES)
 ORACLE: dict[str, str] = {
     "weekly_cash_flow": f"{_WEEKLY} SELECT * FROM flujo",
     "weekly_cash_flow_xml": _WEEKLY_XML,
+    "weekly_cash_flow_filtered": _WEEKLY_PART,
+    "file_lines_payments": """
+SELECT CAST(o_orderkey AS INTEGER) AS "IdPago", strftime(o_orderdate, '%d/%m/%Y') AS "Fecha",
+       lpad(CAST(o_custkey AS VARCHAR), 22, '0') AS "CVU_CBU",
+       CAST(CAST(floor(o_totalprice) AS BIGINT) || '.'
+            || lpad(CAST(CAST(floor(o_totalprice * 100) AS BIGINT) % 100 AS VARCHAR), 2, '0')
+            AS DECIMAL(12,2)) AS importe
+FROM orders""",
+    "file_lines_persons": """
+SELECT CASE WHEN c_custkey % 4 = 0 THEN '"' ELSE '' END || c_name AS "Nombre",
+       c_mktsegment AS "Apellido", lpad(CAST(c_custkey AS VARCHAR), 8, '1') AS "DNI",
+       CAST(NULL AS VARCHAR) AS "Email", CAST(c_custkey AS VARCHAR) AS "Telefono",
+       lpad(CAST(c_custkey AS VARCHAR), 22, '0') AS "CBU_CVU", '0' AS "EsInquilino"
+FROM customer""",
+    "file_lines_units": """
+SELECT '"' || s_name AS "NombreConsorcio", CAST(s_suppkey AS INTEGER) AS "nroUnidadFuncional",
+       '1' AS "Piso", s_suppkey || ',50' AS "Coeficiente", 'SI' AS "Bauleras",
+       CAST(NULL AS VARCHAR) AS m2_baulera, '0' AS m2_cochera
+FROM supplier""",
     "monthly_collection_pivot": _PIVOT,
     "top_months": _TOP,
     "monthly_cost_totals": _cost_totals("reference"),
@@ -505,6 +533,10 @@ FROM orders""",
 SELECT 'unique' AS regla, l_orderkey || '|' || l_linenumber AS clave,
        'l_orderkey+l_linenumber' AS detalle, count(*) AS filas
 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
+    "dq_unique_account": """
+SELECT 'unique' AS regla, c_mktsegment || '/' || c_nationkey AS clave, 'CBU_CVU' AS detalle,
+       count(*) AS filas
+FROM customer WHERE c_acctbal >= 0 GROUP BY c_mktsegment, c_nationkey HAVING count(*) > 1""",
     "dq_fk": """
 SELECT 'foreign_key' AS regla, CAST(o_custkey AS VARCHAR) AS clave, 'o_custkey' AS detalle,
        count(*) AS filas

@@ -29,9 +29,11 @@ from vecindad.operators.changes import insert_if_missing, update_from_join
 from vecindad.operators.history import account_history, position_history
 from vecindad.operators.payments import paid_by_account, paid_by_building, paid_by_unit
 from vecindad.plans import charges, imports, reports
+from vecindad import schemas
 from vecindad.schemas import MONEY
 from vecindad.sinks.xml import STATEMENT_ROW, WEEK_ROW, element, weekly_layout
 from vecindad.sources import star_schema as star
+from vecindad.sources.files import LINE, with_fields
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -398,6 +400,66 @@ def dq_unique(spark: SparkSession, folder: str) -> DataFrame:
     return quality.unique_key(items, ["l_orderkey", "l_linenumber"])
 
 
+def dq_unique_account(spark: SparkSession, folder: str) -> DataFrame:
+    """Accounts shared by several units; here each customer's account is that of its market segment and nation."""
+    shared = star.units(spark, folder).join(
+        star.table(spark, folder, "customer").select(
+            F.col("c_custkey").alias("unidadFuncionalID"),
+            F.when(F.col("c_acctbal") >= 0, F.concat_ws("/", "c_mktsegment", "c_nationkey")).alias("_cuenta"),
+        ),
+        "unidadFuncionalID",
+    )
+    return quality.unique_key(
+        shared.withColumn("CBU_CVU", F.col("_cuenta")).dropna(subset=["CBU_CVU"]), schemas.RULES["Unidad_Funcional"].unique[0]
+    )
+
+
+def file_lines_of_payments(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders written as payment lines, amounts with a decimal comma bare or quoted, and read back."""
+    whole, cents = F.floor("o_totalprice").cast("bigint"), F.floor(F.col("o_totalprice") * 100).cast("bigint") % 100
+    amount = F.concat(F.lit("$ "), whole.cast("string"), F.lit(","), F.lpad(cents.cast("string"), 2, "0"))
+    key = F.col("o_orderkey")
+    quoted = F.when(key % 3 == 0, F.concat(F.lit('"'), amount, F.lit('"'))).otherwise(amount)
+    line = F.concat_ws(",", key, F.date_format("o_orderdate", "dd/MM/yyyy"), F.lpad(F.col("o_custkey").cast("string"), 22, "0"), quoted)
+    lines = star.table(spark, folder, "orders").select(F.when(key % 5 == 0, F.concat(line, F.lit("\r"))).otherwise(line).alias(LINE))
+    fields = with_fields(lines, "payments")
+    return fields.select("IdPago", "Fecha", "CVU_CBU", clean_money(F.col("Valor")).alias("importe"))
+
+
+def file_lines_of_persons(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers written as person lines, some with a stray quote, and read back."""
+    key = F.col("c_custkey").cast("string")
+    name = F.when(F.col("c_custkey") % 4 == 0, F.concat(F.lit('"'), F.col("c_name"))).otherwise(F.col("c_name"))
+    line = F.concat_ws(";", name, F.col("c_mktsegment"), F.lpad(key, 8, "1"), F.lit(""), key, F.lpad(key, 22, "0"), F.lit("0"))
+    fields = with_fields(star.table(spark, folder, "customer").select(line.alias(LINE)), "persons")
+    return fields.select("Nombre", "Apellido", "DNI", "Email", "Telefono", "CBU_CVU", "EsInquilino")
+
+
+def file_lines_of_units(spark: SparkSession, folder: str) -> DataFrame:
+    """Suppliers written as unit lines with decimal commas, and read back."""
+    key = F.col("s_suppkey").cast("string")
+    line = F.concat_ws(
+        "\t", F.concat(F.lit('"'), F.col("s_name")), key, F.lit("1"), F.lit("A"), F.concat(key, F.lit(",50")),
+        F.lit("45,75"), F.lit("SI"), F.lit("NO"), F.lit(""), F.lit("0"),
+    )
+    fields = with_fields(star.table(spark, folder, "supplier").select(line.alias(LINE)), "units")
+    return fields.select("NombreConsorcio", "nroUnidadFuncional", "Piso", "Coeficiente", "Bauleras", "m2_baulera", "m2_cochera")
+
+
+def weekly_cash_flow_filtered(spark: SparkSession, folder: str) -> DataFrame:
+    """One year, one building and some weeks of the weekly report."""
+    return reports.weekly_cash_flow(
+        star.ordinary_costs(spark, folder),
+        star.extraordinary_costs(spark, folder),
+        star.documents(spark, folder, *star.month_span(spark, folder)),
+        star.buildings(spark, folder),
+        year=1996,
+        building_id=7,
+        first_week=5,
+        last_week=40,
+    )
+
+
 def dq_fk(spark: SparkSession, folder: str) -> DataFrame:
     return quality.foreign_key(
         star.table(spark, folder, "orders"),
@@ -468,6 +530,10 @@ def paid_within_month(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "weekly_cash_flow": weekly_cash_flow,
+    "weekly_cash_flow_filtered": weekly_cash_flow_filtered,
+    "file_lines_payments": file_lines_of_payments,
+    "file_lines_persons": file_lines_of_persons,
+    "file_lines_units": file_lines_of_units,
     "weekly_cash_flow_xml": weekly_cash_flow_xml,
     "monthly_collection_pivot": monthly_collection_pivot,
     "top_months": top_months,
@@ -508,6 +574,7 @@ QUERIES: dict[str, Query] = {
     "week_of_year": week_numbers,
     "parse_date": dates_parsed,
     "dq_unique": dq_unique,
+    "dq_unique_account": dq_unique_account,
     "dq_fk": dq_fk,
     "dq_domain": dq_domain,
     "dq_range": dq_range,

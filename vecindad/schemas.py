@@ -260,6 +260,7 @@ class Rules:
     """Declared rules of one table, checked by ``operators.quality``."""
 
     key: tuple[str, ...] = ()
+    unique: tuple[tuple[str, ...], ...] = ()  # further keys; rows with a NULL in one are not compared
     parents: dict[str, tuple[str, str]] = field(default_factory=dict)  # column -> (table, key)
     required: tuple[str, ...] = ()
     allowed: dict[str, tuple[str, ...]] = field(default_factory=dict)
@@ -275,12 +276,14 @@ DELIVERY = ("Mail", "Whatsapp", "Fisico")
 RULES: dict[str, Rules] = {
     "Consorcio": Rules(
         key=("consorcioID",),
+        unique=(("nombre",),),
         required=("nombre", "direccion", "superficieM2Total"),
         max_length={"nombre": 100, "direccion": 100},
         fits={"superficieM2Total": (6, 2)},
     ),
     "Unidad_Funcional": Rules(
         key=("unidadFuncionalID",),
+        unique=(("CBU_CVU",), ("consorcioID", "piso", "departamento")),
         parents={"consorcioID": ("Consorcio", "consorcioID")},
         required=("consorcioID", "piso", "departamento", "superficieM2", "coeficiente"),
         max_length={"piso": 2, "departamento": 1, "CBU_CVU": 22},

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A join on several keys whose one side is grouped by some of them is still dealt by all.
+    "spark.sql.requireAllClusterKeysForCoPartition": "true",
     # Integer arithmetic on cents must fail on overflow, not wrap around.
     "spark.sql.ansi.enabled": "true",
     # HotSpot does not compile methods above 8000 bytes; wide rows of decimals
