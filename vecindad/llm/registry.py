@@ -11,6 +11,7 @@ from vecindad.llm import (
     packing,
     pages,
     rule_ensemble,
+    sql,
     substrings,
     toxicity,
 )
@@ -28,4 +29,9 @@ QUERIES = {
     "op10_packing": packing.op10_packing,
 }
 
-ORACLE: dict[str, str] = {}
+#: The others are fitted models, packings or page texts, which SQL cannot express.
+ORACLE = {
+    "op6_repeated_passages": sql.REPEATED,
+    "op7_decontamination": sql.DECONTAMINATION,
+    "op9_jaccard_components": sql.COMPONENTS,
+}
