@@ -151,6 +151,19 @@ UNION ALL
 SELECT * FROM (SELECT a AS "Anio", m AS "Mes", t AS "Monto", 'Ingreso' AS "Tipo"
                FROM ingreso ORDER BY t DESC, a, m LIMIT 5)"""
 
+_PIVOT_PART = 'SELECT * EXCLUDE ("Anio") FROM ({})'.format(
+    _PIVOT.replace("GROUP BY 1, 2, 3", "WHERE year(o_orderdate) = 1997 AND n_nationkey = 7 GROUP BY 1, 2, 3")
+)
+
+_TOP_PART = _TOP.replace(
+    "UNION ALL SELECT fecha, importe FROM ext) GROUP BY 1, 2)",
+    "WHERE b = 7 UNION ALL SELECT fecha, importe FROM ext WHERE b = 7)"
+    " WHERE year(fecha) BETWEEN 1996 AND 1998 GROUP BY 1, 2)",
+).replace(
+    "  GROUP BY 1, 2)\nSELECT * FROM (SELECT a",
+    "  WHERE n_nationkey = 7 AND year(o_orderdate) BETWEEN 1996 AND 1998 GROUP BY 1, 2)\nSELECT * FROM (SELECT a",
+)
+
 # --- monthly charges --------------------------------------------------------------
 _EARLY = """
 early AS (SELECT DISTINCT b, year(fecha) * 12 + month(fecha) - 1 AS idx
@@ -438,6 +451,10 @@ SELECT '"' || s_name AS "NombreConsorcio", CAST(s_suppkey AS INTEGER) AS "nroUni
 FROM supplier""",
     "monthly_collection_pivot": _PIVOT,
     "top_months": _TOP,
+    "monthly_collection_pivot_filtered": _PIVOT_PART,
+    "top_months_filtered": _TOP_PART,
+    "period_cost_totals": f"SELECT * FROM ({_cost_totals('reference')}) WHERE anio = 1997 AND mes = 6",
+    "period_cost_totals_strict": f"SELECT * FROM ({_cost_totals('strict')}) WHERE anio = 1997 AND mes = 6",
     "monthly_cost_totals": _cost_totals("reference"),
     "monthly_cost_totals_strict": _cost_totals("strict"),
     "installment_schedule": _schedule("reference"),

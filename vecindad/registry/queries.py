@@ -77,6 +77,31 @@ def top_months(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def monthly_collection_pivot_filtered(spark: SparkSession, folder: str) -> DataFrame:
+    """One year of one building."""
+    return reports.monthly_collection_pivot(
+        star.collected_orders(spark, folder),
+        star.units(spark, folder),
+        star.buildings(spark, folder),
+        year=1997,
+        building_id=7,
+    )
+
+
+def top_months_filtered(spark: SparkSession, folder: str) -> DataFrame:
+    """Three years of one building."""
+    return reports.top_months(
+        star.ordinary_costs(spark, folder),
+        star.extraordinary_costs(spark, folder),
+        star.collected_orders(spark, folder),
+        star.units(spark, folder),
+        star.buildings(spark, folder),
+        first_year=1996,
+        last_year=1998,
+        building_id=7,
+    )
+
+
 # --- costs ----------------------------------------------------------------------
 def _cost_totals(spark: SparkSession, folder: str, mode: str, span) -> DataFrame:
     return costs.monthly_cost_totals(
@@ -96,6 +121,25 @@ def monthly_cost_totals_strict(spark: SparkSession, folder: str) -> DataFrame:
     return _cost_totals(spark, folder, "strict", star.month_span(spark, folder))
 
 
+def _one_month(spark: SparkSession, folder: str, mode: str) -> DataFrame:
+    return costs.period_cost_totals(
+        star.buildings(spark, folder),
+        star.ordinary_costs(spark, folder),
+        star.extraordinary_costs(spark, folder),
+        1997,
+        6,
+        mode,
+    )
+
+
+def period_cost_totals(spark: SparkSession, folder: str) -> DataFrame:
+    return _one_month(spark, folder, "reference")
+
+
+def period_cost_totals_strict(spark: SparkSession, folder: str) -> DataFrame:
+    return _one_month(spark, folder, "strict")
+
+
 def installment_schedule(spark: SparkSession, folder: str) -> DataFrame:
     return costs.installment_schedule(star.extraordinary_costs(spark, folder), "reference")
 
@@ -537,6 +581,10 @@ QUERIES: dict[str, Query] = {
     "weekly_cash_flow_xml": weekly_cash_flow_xml,
     "monthly_collection_pivot": monthly_collection_pivot,
     "top_months": top_months,
+    "monthly_collection_pivot_filtered": monthly_collection_pivot_filtered,
+    "top_months_filtered": top_months_filtered,
+    "period_cost_totals": period_cost_totals,
+    "period_cost_totals_strict": period_cost_totals_strict,
     "monthly_cost_totals": monthly_cost_totals,
     "monthly_cost_totals_strict": monthly_cost_totals_strict,
     "installment_schedule": installment_schedule,
