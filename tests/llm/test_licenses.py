@@ -48,3 +48,46 @@ def test_labels_of_the_index(spark):
 
 def test_empty(spark):
     assert licenses.scan(empty(spark)).count() == 0
+
+
+def labels(text):
+    """Brute force: every template at every place of the text, and the base phrases."""
+    w = ALNUM.findall((text or "").translate(LOWER))
+    found = set(filter(None, base(text)[4].split(",")))
+    for label, template, key in licenses.TEMPLATES:
+        t, k = template.split(), key.split()
+        first = next(n for n in range(len(t)) if t[n : n + len(k)] == k)
+        for start in range(-len(t), len(w)):
+            at = dict(enumerate(w[max(start, 0) : start + len(t)], max(start, 0)))
+            there = {(x, n) for n, x in enumerate(t) if at.get(start + n) == x}
+            if 2 * len(there) >= len(t) and all((x, first + n) in there for n, x in enumerate(k)):
+                found.add(label)
+    return ",".join(sorted(found))
+
+
+def test_many_licences_against_brute_force(spark):
+    by = {}
+    for label, template, _ in licenses.TEMPLATES:
+        by[label] = template
+    mixes = [
+        ("mit", "bsd", "all-rights-reserved"),
+        ("bsd", "isc", "all-rights-reserved"),
+        ("bsd", "gpl", "all-rights-reserved"),
+        ("mit", "gpl", "bsd", "isc", "unlicense"),
+        tuple(by),
+    ]
+    plain = rows()
+    some = plain * 8
+    some = [(k, *r[1:]) for k, r in enumerate(some)]
+    for k, mix in enumerate(mixes):
+        text = "\n".join(f"{by[x]}\nw{n} w{n + 1}" for n, x in enumerate(mix))
+        some.append((9000 + k, text, "en", "s", 0, None, None, None))
+    for k in range(0, len(plain), 3):
+        some.append((8000 + k, f"{plain[k][1]} all rights reserved", "en", "s", 0, None, None, None))
+    # Half of a template around its key phrase, in a file with others.
+    half = " ".join(by["isc"].split()[10:])
+    some.append((9100, f"{by['bsd']}\n{by['gpl']}\n{half}", "en", "s", 0, None, None, None))
+    got = {r.doc_id: r.labels for r in licenses.scan(documents(spark, some)).collect()}
+    want = {r[0]: labels(r[1]) for r in some}
+    assert got == want
+    assert all(set(mix) <= set(want[9000 + k].split(",")) for k, mix in enumerate(mixes))

@@ -4,9 +4,12 @@
    some licence template or base phrase.  Phrases are found there: their words must
    follow one another.
 2. Document frequencies of the template words over all documents give their inverse
-   frequencies; the index holds, for each template, the places of its rarest words.
-3. The rarest licence words of a file are looked up; postings of a template that agree on
-   where it would begin in the file are intersected by that relative position.
+   frequencies; the index holds, for each template, the places of its rarest words and
+   of the two rarest of its key phrase.
+3. All words of a file that the index has are looked up, however many licences it names;
+   postings of a template that agree on where it would begin in the file are intersected
+   by that relative position.  As two words of each key phrase are in the index, a
+   template whose key phrase stands in its place is always a candidate.
 4. A candidate counts if the template's mandatory key phrase stands at its place
    word for word, and half of the template's words at theirs; that share is the score.
 
@@ -30,10 +33,10 @@ from pyspark.sql import functions as F
 from vecindad.llm.tables import read, stored
 
 #: Rare words of a template in the index, at most; a word in more than one of ten documents is
-#: none, unless it is the rarest.  And rare words of a file that are looked up.
+#: none, unless it is the rarest.  And words of the key phrase that are always in the index.
 RARE_WORDS = 10
 RARE_IDF = math.log(10)
-FILE_WORDS = 12
+KEY_WORDS = 2
 COVERAGE = 0.5
 
 # Phrases and their labels.
@@ -105,22 +108,21 @@ def _starts(phrase: str) -> Column:
 
 
 def index(frequencies: DataFrame, n_docs: int, rare_words: int = RARE_WORDS) -> DataFrame:
-    """(w, idf, template, place): the rarest words of each template, at each of their places in it."""
+    """(w, template, place): the rarest words of each template and of its key, at each of their places in it."""
     spark = frequencies.sparkSession
-    rows = [(t, k, w) for t, (_, text, _) in enumerate(TEMPLATES) for k, w in enumerate(text.split())]
-    words = spark.createDataFrame(rows, "template int, place int, w string")
+    rows = [(t, k, w, w in key.split()) for t, (_, text, key) in enumerate(TEMPLATES) for k, w in enumerate(text.split())]
+    words = spark.createDataFrame(rows, "template int, place int, w string, in_key boolean")
     idf = F.log((F.lit(n_docs) + 1) / (F.coalesce("df", F.lit(0)) + 1))
     ranked = words.join(frequencies, "w", "left").withColumn("idf", idf)
-    best = (
-        ranked.groupBy("template", "w")
-        .agg(F.max("idf").alias("idf"))
-        .groupBy("template")
-        .agg(F.slice(F.sort_array(F.collect_list(F.struct("idf", "w")), asc=False), 1, rare_words).alias("_best"))
-        .select("template", F.posexplode("_best").alias("_rank", "_b"))
-        .where((F.col("_rank") == 0) | (F.col("_b.idf") >= RARE_IDF))
-        .select("template", F.col("_b.w").alias("w"))
-    )
-    return ranked.join(best, ["template", "w"]).select("w", "idf", "template", "place")
+    each = ranked.groupBy("template", "w", "in_key").agg(F.max("idf").alias("idf"))
+
+    def first(some: DataFrame, n: int) -> DataFrame:
+        rarest = F.slice(F.sort_array(F.collect_list(F.struct("idf", "w")), asc=False), 1, n)
+        return some.groupBy("template").agg(rarest.alias("_best")).select("template", F.posexplode("_best").alias("_rank", "_b"))
+
+    rare = first(each, rare_words).where((F.col("_rank") == 0) | (F.col("_b.idf") >= RARE_IDF))
+    best = rare.union(first(each.where("in_key"), KEY_WORDS)).select("template", F.col("_b.w").alias("w")).distinct()
+    return ranked.join(best, ["template", "w"]).select("w", "template", "place")
 
 
 def candidates(files: DataFrame, postings: DataFrame) -> DataFrame:
@@ -131,14 +133,8 @@ def candidates(files: DataFrame, postings: DataFrame) -> DataFrame:
         .select("_file", F.col("_p.w").alias("w"), F.col("_p.i").alias("i"))
         .join(F.broadcast(postings), "w")
     )
-    rarest = (
-        hits.groupBy("_file")
-        .agg(F.slice(F.sort_array(F.collect_set(F.struct("idf", "w")), asc=False), 1, FILE_WORDS).alias("_rarest"))
-        .select("_file", F.explode("_rarest.w").alias("w"))
-    )
     return (
-        hits.join(rarest, ["_file", "w"])
-        .groupBy("_file", "template", (F.col("i") - F.col("place")).alias("start"))
+        hits.groupBy("_file", "template", (F.col("i") - F.col("place")).alias("start"))
         .agg(F.count_distinct("w").alias("_n"))
         .join(F.broadcast(needed), "template")
         .where("_n >= _need")
