@@ -77,3 +77,14 @@ def test_neighbours_do_not_depend_on_partitions(spark):
 
 def test_empty(spark):
     assert pages.extract(table(spark, [])).count() == 0
+
+
+def test_shared_lines_inside_main_elements_go(spark):
+    """Unnamed menus and notices that a main or article element wraps too."""
+    some = []
+    for k in range(12):
+        tag = "main" if k % 2 else "article"
+        own = f"<p>Story {k} has its own long and quite different words {k * 7}.</p><p>And an end {k}.</p>"
+        some.append((k, f"http://m.org/a/{k}", page(k, f"<{tag}><p>Home, News</p>{own}<p>Tell your friends</p></{tag}>")))
+    text = {r.page_id: r.text for r in pages.extract(table(spark, some)).collect()}
+    assert text == {k: f"Story {k} has its own long and quite different words {k * 7}.\nAnd an end {k}." for k in range(12)}

@@ -7,10 +7,11 @@
 2. Each page is cut into blocks of text.  Menus, headers, footers, sidebars, notices,
    adverts, forms, scripts, styles and reader comments are left out where the markup
    names them (element, class, id or role).
+   Of a page with an article or main element only the blocks inside are its lines.
 3. The lines of paired pages are aligned by a longest common subsequence, and shared
-   lines are deleted, with two exceptions: blocks inside an article or main element,
-   which are the text itself (and all of it, if there is one), and pages that share
-   more than half of their text, which are copies of one article, not of one frame.
+   lines are deleted.  A line inside an article or main element is shared only if the
+   neighbour has it inside one too.  Pages that share more than half of their text are
+   copies of one article, not of one frame, and keep it.
 
 Defined results: a null html is an empty page with an empty text; a null url or one
 without a host is not paired; repeated rows give the same text each (a page is never
@@ -163,10 +164,10 @@ def shared_lines(one: list[int], two: list[int]) -> list[int]:
     return found
 
 
-def main_text(texts: list[str], inside: list[bool], lines: list[int], other: list[int] | None) -> str:
+def main_text(texts: list[str], lines: list[int], other: list[int] | None) -> str:
     """The page's text without the lines that its neighbour shares."""
-    if other and not all(inside):
-        shared = [k for k in shared_lines(lines, other) if not inside[k]]
+    if other:
+        shared = shared_lines(lines, other)
         if 2 * sum(len(texts[k]) for k in shared) <= sum(map(len, texts)):
             gone = set(shared)
             texts = [t for k, t in enumerate(texts) if k not in gone]
@@ -240,8 +241,9 @@ def _rows(pairs: list, ends: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
-def _line_hash(column):
-    return F.transform(column, lambda x: F.xxhash64(x))
+def _line_hash():
+    """Lines inside a main element and others are never the same line."""
+    return F.transform(F.arrays_zip("texts", "inside"), lambda x: F.xxhash64(x["texts"], x["inside"]))
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -262,7 +264,7 @@ def extract(pages: DataFrame) -> DataFrame:
 
     schema = "_key long, page_id long, url string, texts array<string>, inside array<boolean>"
     parsed = keyed.select("_key", "page_id", "url", "html").mapInArrow(cut, schema)
-    lines = parsed.select(F.col("_key").alias("other"), _line_hash("texts").alias("_other")).dropDuplicates(["other"])
+    lines = parsed.select(F.col("_key").alias("other"), _line_hash().alias("_other")).dropDuplicates(["other"])
     paired = neighbours(keyed).join(lines, "other").select("_key", "_other")
 
     def difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,7 +277,7 @@ def extract(pages: DataFrame) -> DataFrame:
 
     return (
         parsed.join(paired, "_key", "left")
-        .select("page_id", "url", "texts", "inside", _line_hash("texts").alias("_lines"), "_other")
+        .select("page_id", "url", "texts", _line_hash().alias("_lines"), "_other")
         .mapInArrow(difference, "page_id long, url string, text string")
         .withColumn("n_chars", F.length("text").cast("long"))
     )
