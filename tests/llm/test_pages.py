@@ -88,3 +88,19 @@ def test_shared_lines_inside_main_elements_go(spark):
         some.append((k, f"http://m.org/a/{k}", page(k, f"<{tag}><p>Home, News</p>{own}<p>Tell your friends</p></{tag}>")))
     text = {r.page_id: r.text for r in pages.extract(table(spark, some)).collect()}
     assert text == {k: f"Story {k} has its own long and quite different words {k * 7}.\nAnd an end {k}." for k in range(12)}
+
+
+def test_short_articles_in_a_large_frame(spark):
+    frame = "".join(f"<p>Notice {n} of this site, which is longer than any story on it.</p>" for n in range(9))
+    some = [(k, f"http://f.org/a/{k:03}", page(k, f"{frame}<p>Story {k}.</p>")) for k in range(20)]
+    # Copies under neighbouring URLs, and two versions of one article on a host without a frame of that size.
+    some += [(100 + k, f"http://c.org/a/{k:03}", page(k, f"<p>Call us.</p><p>The one story {k // 8} of copies.</p>")) for k in range(32)]
+    long = "".join(f"<p>Part {n} of a long article.</p>" for n in range(6))
+    some += [(200 + k, f"http://v.org/a/{k}", page(k, f"<p>Call us.</p>{long}<p>Version {k}.</p>")) for k in range(2)]
+    some += [(210 + k, f"http://v.org/b/{k}", page(k, f"<p>Call us.</p><p>Another story {k}, with words of its own.</p>")) for k in range(40)]
+    text = {r.page_id: r.text for r in pages.extract(table(spark, some)).collect()}
+    assert all(text[k] == f"Story {k}." for k in range(20))
+    assert all(text[100 + k] == f"The one story {k // 8} of copies." for k in range(32))
+    whole = "\n".join(f"Part {n} of a long article." for n in range(6))
+    assert all(text[200 + k] == f"{whole}\nVersion {k}." for k in range(2))
+    assert all(text[210 + k] == f"Another story {k}, with words of its own." for k in range(40))

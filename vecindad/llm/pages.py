@@ -1,7 +1,8 @@
 """Main text of web pages by differencing with the page of the nearest URL.
 
-1. Pages of a host are put in the order of their paths by a distributed sort; each
-   is paired with the neighbour whose path has the longer common beginning.  The
+1. Pages of a host with the same lines are one, known by the least path.  They are put
+   in the order of their paths by a distributed sort; each is paired with the neighbour
+   whose path has the longer common beginning, so never with a copy of itself.  The
    sort sees hosts, paths and keys alone and splits a hot host by path and key;
    pairs over a partition's end are made from the first and last row of each.
 2. Each page is cut into blocks of text.  Menus, headers, footers, sidebars, notices,
@@ -10,8 +11,10 @@
    Of a page with an article or main element only the blocks inside are its lines.
 3. The lines of paired pages are aligned by a longest common subsequence, and shared
    lines are deleted.  A line inside an article or main element is shared only if the
-   neighbour has it inside one too.  Pages that share more than half of their text are
-   copies of one article, not of one frame, and keep it.
+   neighbour has it inside one too.  If that is more than half of the page's text, it may
+   be an article of which there is another version, or a frame longer than the article:
+   only the lines that a second page of the host, chosen by the hash of its lines, shares
+   too are deleted.  A host of two different pages has no such page; they keep the text.
 
 Defined results: a null html is an empty page with an empty text; a null url or one
 without a host is not paired; repeated rows give the same text each (a page is never
@@ -45,6 +48,8 @@ DROPPED = frozenset(
 )
 MAIN = frozenset(("article", "main"))
 FRAME = frozenset(("html", "body", "article", "main"))
+#: The least page of each of so many parts of a host is looked at for the second page.
+PARTS = 1024
 # Names of such parts in a class, id or role, as a word of their own.
 _NAMED = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|commentlist|complementary|contentinfo|consent|"
@@ -164,13 +169,13 @@ def shared_lines(one: list[int], two: list[int]) -> list[int]:
     return found
 
 
-def main_text(texts: list[str], lines: list[int], other: list[int] | None) -> str:
-    """The page's text without the lines that its neighbour shares."""
+def main_text(texts: list[str], lines: list[int], other: list[int] | None, second: list[int] | None) -> str:
+    """The page's text without the lines of the frame that it shares with its neighbour."""
     if other:
-        shared = shared_lines(lines, other)
-        if 2 * sum(len(texts[k]) for k in shared) <= sum(map(len, texts)):
-            gone = set(shared)
-            texts = [t for k, t in enumerate(texts) if k not in gone]
+        gone = set(shared_lines(lines, other))
+        if 2 * sum(len(texts[k]) for k in gone) > sum(map(len, texts)):
+            gone &= set(shared_lines(lines, second)) if second else set()
+        texts = [t for k, t in enumerate(texts) if k not in gone]
     return "\n".join(texts)
 
 
@@ -246,26 +251,47 @@ def _line_hash():
     return F.transform(F.arrays_zip("texts", "inside"), lambda x: F.xxhash64(x["texts"], x["inside"]))
 
 
+def _pairs(light: DataFrame) -> DataFrame:
+    """(_key, _other, _second): the lines of the neighbour of each page, and of a second page of its host.
+
+    light: _key, _host, _path, _lines and their hash _set.
+    """
+    one = F.min(F.struct("_path", "_key")).alias("_one")
+    ones = light.where(F.length("_host") > 0).groupBy("_host", "_set").agg(one)
+    ones = stored(ones.select("_host", "_set", "_one._path", "_one._key"))
+    lines = light.select("_key", "_lines").dropDuplicates(["_key"])
+    # Three pages of each host, so that one is neither the page nor its neighbour.
+    parts = ones.groupBy("_host", F.pmod("_set", F.lit(PARTS)).alias("_part")).agg(F.min(F.struct("_set", "_key")).alias("_far"))
+    few = parts.groupBy("_host").agg(F.slice(F.sort_array(F.collect_list("_far")), 1, 3).alias("_far"))
+    far = few.select("_host", F.explode("_far._key").alias("_key")).join(lines, "_key")
+    far = stored(far.groupBy("_host").agg(F.sort_array(F.collect_list(F.struct("_key", "_lines"))).alias("_far")))
+
+    near = neighbours(ones).join(lines.select(F.col("_key").alias("other"), F.col("_lines").alias("_other")), "other")
+    third = F.filter("_far", lambda x: (x["_key"] != F.col("_key")) & (x["_key"] != F.col("other")))
+    paired = ones.join(near, "_key").join(far, "_host").select("_host", "_set", "_other", F.get(third, F.lit(0))["_lines"].alias("_second"))
+    return light.select("_key", "_host", "_set").distinct().join(paired, ["_host", "_set"]).select("_key", "_other", "_second")
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
     keyed = _keyed(pages)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [blocks(html or "") for html in batch.column(3).to_pylist()]
+            found = [blocks(html or "") for html in batch.column(5).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
-                    *batch.columns[:3],
+                    *batch.columns[:5],
                     pa.array([[t for t, _ in f] for f in found], pa.list_(pa.string())),
                     pa.array([[i for _, i in f] for f in found], pa.list_(pa.bool_())),
                 ],
-                names=["_key", "page_id", "url", "texts", "inside"],
+                names=["_key", "page_id", "url", "_host", "_path", "texts", "inside"],
             )
 
-    schema = "_key long, page_id long, url string, texts array<string>, inside array<boolean>"
-    parsed = keyed.select("_key", "page_id", "url", "html").mapInArrow(cut, schema)
-    lines = parsed.select(F.col("_key").alias("other"), _line_hash().alias("_other")).dropDuplicates(["other"])
-    paired = neighbours(keyed).join(lines, "other").select("_key", "_other")
+    schema = "_key long, page_id long, url string, _host string, _path string, texts array<string>, inside array<boolean>"
+    parsed = keyed.select("_key", "page_id", "url", "_host", "_path", "html").mapInArrow(cut, schema)
+    light = parsed.select("_key", "_host", "_path", _line_hash().alias("_lines"))
+    paired = _pairs(stored(light.withColumn("_set", F.xxhash64("_lines"))))
 
     def difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -277,7 +303,7 @@ def extract(pages: DataFrame) -> DataFrame:
 
     return (
         parsed.join(paired, "_key", "left")
-        .select("page_id", "url", "texts", _line_hash().alias("_lines"), "_other")
+        .select("page_id", "url", "texts", _line_hash().alias("_lines"), "_other", "_second")
         .mapInArrow(difference, "page_id long, url string, text string")
         .withColumn("n_chars", F.length("text").cast("long"))
     )
