@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from vecindad.llm import (
+    alignment,
     class_ngrams,
     decontamination,
     jaccard_join,
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_licenses": licenses.op8_licenses,
     "op9_jaccard_components": jaccard_join.op9_jaccard_components,
     "op10_packing": packing.op10_packing,
+    "op11_alignment": alignment.op11_alignment,
 }
 
 #: The others are fitted models, packings or page texts, which SQL cannot express.
