@@ -15,6 +15,7 @@ from vecindad.llm import (
     sql,
     substrings,
     toxicity,
+    warc,
 )
 
 QUERIES = {
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_jaccard_components": jaccard_join.op9_jaccard_components,
     "op10_packing": packing.op10_packing,
     "op11_alignment": alignment.op11_alignment,
+    "op12_archives": warc.op12_archives,
 }
 
 #: The others are fitted models, packings or page texts, which SQL cannot express.
