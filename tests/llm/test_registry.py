@@ -14,7 +14,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_names():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 13))
+    assert numbers == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(entry_points.queries())
     assert len(corpus_pipeline.STAGES) == 5
 

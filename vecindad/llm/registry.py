@@ -11,6 +11,7 @@ from vecindad.llm import (
     outliers,
     packing,
     pages,
+    prefix_trie,
     rule_ensemble,
     sql,
     substrings,
@@ -31,6 +32,7 @@ QUERIES = {
     "op10_packing": packing.op10_packing,
     "op11_alignment": alignment.op11_alignment,
     "op12_archives": warc.op12_archives,
+    "op13_prefix_trie": prefix_trie.op13_prefix_trie,
 }
 
 #: The others are fitted models, packings or page texts, which SQL cannot express.
@@ -38,4 +40,6 @@ ORACLE = {
     "op6_repeated_passages": sql.REPEATED,
     "op7_decontamination": sql.DECONTAMINATION,
     "op9_jaccard_components": sql.COMPONENTS,
+    "op12_archives": sql.ARCHIVES,
+    "op13_prefix_trie": sql.TRIE,
 }
