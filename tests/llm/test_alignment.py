@@ -102,18 +102,21 @@ def test_against_brute_force(spark, plain):
 def test_cut_texts_equal_whole_ones(plain):
     """Random texts of many kinds of character, cut or not, have the tokens of the libraries."""
     rng = random.Random(3)
-    letters = list("abcdeiou  \n\t.,'12ßéñ€—") + ["'s", "'ll", "  ", " \n ", "日", "я", " ", "\x1f", "<s>"]
+    letters = list("abcdeiou  \n\t.,'12ßéñ€—") + ["'s", "'ll", "\r", "\r\n", ";\r", " \r", "  ", " \n ", "日", "я", " ", "\x1f", "<s>"]
     two = alignment.Aligner(P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model"))
-    for _ in range(1500):
-        text = "".join(rng.choice(letters) for _ in range(rng.randrange(1, 40)))
-        n_a, n_b, groups, _ = brute(plain, text)
-        chunks = two.align(text)
-        if chunks is None:
-            assert n_a == 0, repr(text)
-            continue
-        written = b";".join(c.text for c in chunks).decode()
-        assert written == ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in groups), repr(text)
-        assert (sum(c.n_a for c in chunks), sum(c.n_b for c in chunks)) == (n_a, n_b)
+    assert len(two.parts("some words;\r\nof a text\n")) == 5
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 40))) for _ in range(3000)]
+    for at in range(0, len(texts), 150):
+        some = texts[at : at + 150]
+        for text, chunks in zip(some, two.align(some), strict=True):
+            assert "".join(two.parts(text)) == " " + text
+            n_a, n_b, groups, _ = brute(plain, text)
+            if chunks is None:
+                assert n_a == 0, repr(text)
+                continue
+            written = b";".join(c.text for c in chunks).decode()
+            assert written == ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in groups), repr(text)
+            assert (sum(c.n_a for c in chunks), sum(c.n_b for c in chunks)) == (n_a, n_b)
 
 
 def test_spans_cover_the_text(spark):

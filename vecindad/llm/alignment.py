@@ -6,9 +6,9 @@ copies as weights, each text is measured against those counts, and the measures
 back to the documents by the text's SHA-256.
 
 A text is read as a space and itself.  Both tokenizers are cut between a character
-and the ASCII white space after it: no token of theirs reaches over that place, so
-what stands between two cuts is aligned by itself, and a worker keeps the result for
-the next time.  Where a vocabulary or a text does not allow such cuts (other white space,
+and the ASCII white space after it, unless a piece holds that white space: no token of
+theirs reaches over such a place, so what stands between two cuts is aligned by itself,
+and a worker keeps the result for the next time.  Where a vocabulary or a text does not allow such cuts (other white space,
 characters that engines may class in different ways) the text is aligned whole.
 
 The counts of id pairs are joined with the pairs of each text; Spark broadcasts them if
@@ -31,22 +31,22 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecindad.llm.tables import read, stored
 
 #: Cut texts kept with their alignment in a worker; then the memory starts anew.
-KNOWN_CHUNKS = 100_000
-#: Rows of a batch that goes back to Spark hold about this many links.
-BATCH_LINKS = 500_000
+KNOWN_CHUNKS = 250_000
+#: Texts of about so many bytes are aligned together.
+SLICE_BYTES = 2_000_000
 
 # Fixed by the byte-level vocabulary: how text is split before its merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 #: What a piece vocabulary writes for a space.
 _SPACE = "\u2581"
-_CHUNKS = re.compile(r"[\t-\r ]*[^\t-\r ]+|[\t-\r ]+")
 # White space beyond ASCII, and what some engines take for it.
 _WHOLE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]")
 # Characters whose class (letter, number, other) is the same in every engine.
@@ -120,10 +120,15 @@ class PieceTokenizer:
         }
         self._space = model.piece_to_id(_SPACE)
         plain = [p for i, p in pieces if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))]
+        # White space that pieces hold is no place to cut.
+        held = "".join(sorted({c for p in plain for c in re.findall("[\t-\r ]", p)}))
+        more = f"(?:[{re.escape(held)}][\t-\r ]*[^\t-\r ]*)*" if held else ""
         probe = "a  b\n c "
-        self.cuts = not any(re.search(f"[^{_SPACE}]{_SPACE}|[\\t-\\r ]", p) for p in plain) and (
-            b"".join(self.bytes[i] for i in model.encode(probe)) == b" " + probe.encode()
-        )
+        able = " " not in held and not any(re.search(f"[^{_SPACE}]{_SPACE}", p) for p in plain)
+        if able and b"".join(self.bytes[i] for i in model.encode(probe)) == b" " + probe.encode():
+            self.cuts = re.compile(f"[\t-\r ]*[^\t-\r ]+{more}|[\t-\r ]+")
+        else:
+            self.cuts = None
 
     def ids(self, text: str) -> list[int]:
         """Ids of a text that begins with white space, which the model itself puts before a text."""
@@ -139,6 +144,13 @@ class Aligner:
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = ByteTokenizer(path_a), PieceTokenizer(path_b)
         self._known: dict[str, Chunk | None] = {}
+        # By id, and whether it is the last of its group: the id as text and what follows it.
+        self._written, self._sizes, self._shift = [], [], 0
+        for side, end in ((self.a, "|"), (self.b, ";")):
+            top = max(side.bytes) + 1
+            self._sizes.append(np.array([len(side.bytes.get(i, b"")) for i in range(top)]))
+            self._shift = len(self._written)
+            self._written += [f"{i}{c}".encode() for i in range(top) for c in (",", end)]
 
     def groups(self, text: str) -> list[tuple[list[int], list[int], int]] | None:
         """(ids of A, ids of B, bytes) of each group of a text that begins with white space."""
@@ -157,7 +169,7 @@ class Aligner:
                 begun = list(at)
         return out
 
-    def _chunk(self, text: str) -> Chunk | None:
+    def _alone(self, text: str) -> Chunk | None:
         groups = self.groups(text)
         if groups is None:
             return None
@@ -165,26 +177,59 @@ class Aligner:
         links = np.array([a[-1] << 32 | b[-1] for a, b, _ in groups], "<i8").tobytes()
         return Chunk(sum(len(a) for a, _, _ in groups), sum(len(b) for _, b, _ in groups), len(groups), written.encode(), links)
 
+    def _together(self, texts: list[str]) -> list[Chunk | None]:
+        """Plain chunks that end with no white space, aligned as one text: it has cuts between them."""
+        whole = "".join([" x", *texts])
+        ids = [np.array(side.ids(whole), np.int64) for side in (self.a, self.b)]
+        raw = whole.encode()
+        if any(b"".join([side.bytes.get(i, b"") for i in x.tolist()]) != raw for side, x in zip((self.a, self.b), ids, strict=True)):
+            return [self._alone(text) for text in texts]
+        stops = [np.cumsum(size[x]) for size, x in zip(self._sizes, ids, strict=True)]
+        ends, *last = np.intersect1d(*stops, assume_unique=True, return_indices=True)
+        # Tokens in the order A of a group, B of it: A of group g follow all B of the groups before.
+        of = [np.searchsorted(ends, stop) for stop in stops]
+        before = [np.concatenate([[0], x + 1]) for x in last]
+        places = [np.arange(len(of[0])) + before[1][of[0]], np.arange(len(of[1])) + before[0][of[1] + 1]]
+        order = np.zeros(len(of[0]) + len(of[1]), np.int64)
+        for k in (0, 1):
+            final = np.zeros(len(of[k]), np.int64)
+            final[last[k]] = 1
+            order[places[k]] = ids[k] * 2 + final + k * self._shift
+        table = self._written
+        pieces = [table[i] for i in order.tolist()]
+        links = (ids[0][last[0]] << 32 | ids[1][last[1]]).astype("<i8").tobytes()
+        sizes = [2, *[len(t.encode()) for t in texts]]
+        cuts = np.searchsorted(ends, np.cumsum(sizes)) + 1
+        tokens = [x[cuts].tolist() for x in before]
+        cuts = cuts.tolist()
+        out = []
+        for k in range(len(texts)):
+            g, h = cuts[k], cuts[k + 1]
+            a, b, c, d = tokens[0][k], tokens[0][k + 1], tokens[1][k], tokens[1][k + 1]
+            out.append(Chunk(b - a, d - c, h - g, b"".join(pieces[a + c : b + d])[:-1], links[8 * g : 8 * h]))
+        return out
+
     def parts(self, text: str) -> list[str]:
         """The text with its space, cut where both tokenizers begin anew."""
         whole = " " + text
-        return [whole] if not self.b.cuts or _WHOLE.search(text) else _CHUNKS.findall(whole)
-
-    def align(self, text: str) -> list[Chunk] | None:
-        """The chunks of a text; None if its tokens do not give it back."""
-        known, out = self._known, []
-        for part in self.parts(text):
-            if part in known:
-                chunk = known[part]
-            else:
-                if len(known) >= KNOWN_CHUNKS:
-                    known.clear()
-                chunk = self._chunk(part)
-                if len(part) <= 64:
-                    known[part] = chunk
-            if chunk is None:
-                return None
-            out.append(chunk)
+        return [whole] if self.b.cuts is None or _WHOLE.search(text) else self.b.cuts.findall(whole)
+
+    def align(self, texts: list[str]) -> list[list[Chunk] | None]:
+        """The chunks of each text; None if its tokens do not give it back."""
+        known = self._known
+        if len(known) >= KNOWN_CHUNKS:
+            known.clear()
+        parts = [self.parts(text) for text in texts]
+        new = list(dict.fromkeys([p for some in parts for p in some if p not in known]))
+        plain = [p for p in new if self.b.cuts and not p[-1].isspace() and _PLAIN.fullmatch(p) and not _WHOLE.search(p)]
+        made = dict(zip(plain, self._together(plain), strict=True))
+        made.update((p, self._alone(p)) for p in new if p not in made)
+        get = known.get
+        out = []
+        for some in parts:
+            chunks = [get(p) or made.get(p) for p in some]
+            out.append(None if None in chunks else chunks)
+        known.update((p, c) for p, c in made.items() if c is not None and len(p) <= 64)
         return out
 
 
@@ -220,6 +265,17 @@ def _batch(rows: list[tuple], links: list[tuple[np.ndarray, np.ndarray]]) -> pa.
     return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in re.split(r", (?=\w+ )", ALIGNED)])
 
 
+def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of SLICE_BYTES bytes or more, but for the last."""
+    sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+    at, held = 0, 0
+    for k, size in enumerate(sizes.tolist(), 1):
+        held += size
+        if held >= SLICE_BYTES or k == len(sizes):
+            yield at, k
+            at, held = k, 0
+
+
 def aligned(docs: DataFrame, path_a: str | None = None, path_b: str | None = None) -> DataFrame:
     """One row per distinct text that has words to align: its copies, measures and links (each id pair once, n times)."""
     text = F.col("text").cast("string")
@@ -227,25 +283,21 @@ def aligned(docs: DataFrame, path_a: str | None = None, path_b: str | None = Non
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         two = aligner(path_a, path_b)
-        rows, links, held = [], [], 0
         for batch in batches:
-            for text, copies in zip(batch.column(0), batch.column(1), strict=True):
-                text = text.as_py()
-                chunks = two.align(text)
-                if chunks is None:
-                    continue
-                code = np.frombuffer(b"".join([c.links for c in chunks]), "<i8")
-                groups = hashlib.sha256(b";".join([c.text for c in chunks])).hexdigest()
-                n = sum([c.n_groups for c in chunks])
-                sizes = sum([c.n_a for c in chunks]), sum([c.n_b for c in chunks]), n, len(code)
-                rows.append((hashlib.sha256(text.encode()).digest(), copies.as_py(), *sizes, groups))
-                links.append(np.unique(code, return_counts=True))
-                held += len(links[-1][0])
-                if held >= BATCH_LINKS:
+            for at, to in _slices(batch.column(0)):
+                some = batch.column(0).slice(at, to - at).to_pylist()
+                copies = batch.column(1).slice(at, to - at).to_pylist()
+                rows, links = [], []
+                for text, n, chunks in zip(some, copies, two.align(some), strict=True):
+                    if chunks is None:
+                        continue
+                    code = np.frombuffer(b"".join([c.links for c in chunks]), "<i8")
+                    groups = hashlib.sha256(b";".join([c.text for c in chunks])).hexdigest()
+                    sizes = sum([c.n_a for c in chunks]), sum([c.n_b for c in chunks]), len(code), len(code)
+                    rows.append((hashlib.sha256(text.encode()).digest(), n, *sizes, groups))
+                    links.append(np.unique(code, return_counts=True))
+                if rows:
                     yield _batch(rows, links)
-                    rows, links, held = [], [], 0
-        if rows:
-            yield _batch(rows, links)
 
     return texts.mapInArrow(run, ALIGNED)
 
