@@ -156,6 +156,75 @@ def test_history_equals_month_by_month(spark, tmp_path, mode, policy):
         assert len(found) == (16 if name == "Estado_Cuentas" else 20)
 
 
+@pytest.mark.parametrize("policy", ["partial_payment", "last_payment", "flat"])
+def test_history_continues_stored_balances(spark, tmp_path, policy):
+    """Two months stored one by one and two in one pass equal four months one by one; again adds nothing."""
+    from vecindad.plans.charges import store_history
+
+    months = [(2024, 12), (2025, 1), (2025, 2), (2025, 3)]
+    roots = [str(tmp_path / n) for n in ("single", "both")]
+    for root in roots:
+        _store(spark, random_ledger(spark), root)
+    store_months(spark, roots[0], months, policy=policy, run_date=RUN)
+    store_months(spark, roots[1], months[:2], policy=policy, run_date=RUN)
+    for _ in range(2):
+        store_history(spark, roots[1], months[1], months[3], policy=policy, run_date=RUN)
+    for name in ("Expensas", "Estado_Financiero", "Estado_Cuentas"):
+        columns = read_stored(spark, roots[0], name).columns
+        found = rows_of(read_stored(spark, roots[1], name), *columns)
+        assert found == rows_of(read_stored(spark, roots[0], name), *columns)
+
+
+def test_history_leaves_done_documents_to_their_units(spark, tmp_path):
+    from vecindad.plans.charges import store_history
+
+    root = str(tmp_path / "store")
+    _store(spark, random_ledger(spark), root)
+    store_months(spark, root, [(2025, 1)], run_date=RUN)
+    late = (13, 1, "3", "C", D("50"), 1, 0, None, D("10.00"))
+    append(table_from_rows(spark, "Unidad_Funcional", [late]), f"{root}/Unidad_Funcional")
+    store_history(spark, root, (2025, 1), (2025, 2), run_date=RUN)
+    rows = read_stored(spark, root, "Estado_Cuentas").where("unidadFuncionalID = 13").collect()
+    assert [(r.anio, r.mes, r.saldoAnterior) for r in rows] == [(2025, 2, D(0))]
+
+
+def test_folded_history_has_no_python_and_one_shuffle_by_unit(spark):
+    tables = random_ledger(spark)
+    plan = charge_history(tables, (2024, 12), (2025, 3), run_date=RUN)["Estado_Cuentas"]
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in text and "InArrow" not in text
+    assert text.count("REPARTITION_BY_COL") == 1
+
+
+def test_fold_goes_over_blocks(spark):
+    """Forty months in blocks of twelve: each result is the one before and the month's own."""
+    from pyspark.sql import functions as F
+
+    from vecindad.operators.history import folded
+
+    frame = spark.createDataFrame([([(k, k * k) for k in range(n)],) for n in (1, 11, 12, 13, 24, 40)], "m array<struct<periodo:bigint,x:bigint>>")
+    step = lambda m, last: F.struct(m["periodo"], F.coalesce(last["sum"], F.lit(0)) + m["x"])
+    for row in frame.select("m", folded(F.col("m"), step, "struct<periodo:bigint,sum:bigint>").alias("r")).collect():
+        assert [r["sum"] for r in row.r] == [sum(j * j for j in range(k + 1)) for k in range(len(row.m))]
+
+
+def test_default_period_is_the_session_date(spark):
+    from vecindad.functions.dates import previous_period, session_date
+
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        days = []
+        for name in ("Pacific/Kiritimati", "Etc/GMT+12"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            days.append(session_date(spark))
+        assert (days[0] - days[1]).days in (1, 2)
+        result = run_period(ledger(spark))
+        documents = result["Expensas"].collect()
+        assert {(r.anio, r.mes) for r in documents} == {previous_period(days[1].year, days[1].month)}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_history_starts_afresh_after_a_gap(spark):
     tables = random_ledger(spark)
     documents = [

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Spanish month names, January first.
@@ -48,6 +49,18 @@ def index_month(index: Column) -> Column:
     return (index % 12 + 1).cast("int")
 
 
+def month_indexes(periods: Sequence[tuple[int, int]]) -> Column:
+    """Array of the periods' indexes, one sequence for each run of neighbouring months."""
+    runs: list[list[int]] = []
+    for index in sorted({year * 12 + month - 1 for year, month in periods}):
+        if runs and index == runs[-1][1] + 1:
+            runs[-1][1] = index
+        else:
+            runs.append([index, index])
+    none = F.array().cast("array<int>")
+    return F.concat(none, *[F.sequence(F.lit(a), F.lit(b)) for a, b in runs])
+
+
 def parse_day_month_year(text: Column) -> Column:
     return F.try_to_date(F.trim(text), "d/M/yyyy")
 
@@ -66,11 +79,17 @@ def previous_period(year: int, month: int) -> tuple[int, int]:
     return (year - 1, 12) if month == 1 else (year, month - 1)
 
 
+def session_date(spark: SparkSession) -> dt.date:
+    """Today in the session's time zone; no job is run for it."""
+    return spark.sql("SELECT current_date()").first()[0]
+
+
 def resolve_period(
     year: int | None, month: int | None, today: dt.date | None = None
 ) -> tuple[int, int]:
     """The given period, or the month before today if a part is missing."""
     if year is not None and month is not None:
         return year, month
-    today = today or dt.date.today()
+    if today is None:
+        raise ValueError("a period without year or month needs the day it is run on")
     return previous_period(today.year, today.month)

@@ -2,12 +2,17 @@
 
 A month's account needs the total of the month before, so months cannot be
 computed independently.  Instead of running one job per month, all inputs are
-first summed by key and month; then each key holds one short array, one element
-per month of the span, never as long as the payments or costs.
+first summed by key and month.  Documents, payments (moved to the month that takes them
+into account) and stored balances of a key then meet in one shuffle by the key; each
+key's months become one short array, one element per month, never as long as the
+payments or costs.
 
-The accounts of units are the large table: an Arrow batch of units is taken through
-its months together, one step of exact integer arithmetic for each month over all
-units of the batch.  The few buildings' positions come from a fold over their months.
+Only what depends on the month before is computed inside the array, by a fold whose state
+is the last element; the other amounts are plain columns after it.  The fold goes by
+blocks of months, so its cost grows with the number of months.
+
+Stored balances are elements that the fold takes as they are: a history that begins
+after them continues them, and months that have them already are not given again.
 """
 
 from __future__ import annotations
@@ -19,137 +24,120 @@ from pyspark.sql import functions as F
 
 from vecindad.functions.dates import index_month, index_year
 from vecindad.functions.text import comparable
-from vecindad.operators import batches
 from vecindad.operators.costs import check_mode
 from vecindad.operators.interest import (
+    Parts,
+    account_amounts,
+    account_total,
     as_money,
     check_policy,
     final_balance,
+    own_charge,
     position_amounts,
     to_cents,
+    zero_if_null,
 )
 from vecindad.operators.joins import lookup_join
 
-def running_totals(months: Column, total: Callable[[Column, Column, Column], Column]) -> Column:
-    """Array of totals (cents), each computed from the ones before it.
+#: Months folded before their results are set aside.
+BLOCK = 12
 
-    ``total(month, before, before_that)`` gives the total of one element; the
-    other two are the totals one and two months earlier, NULL where the months
-    are missing.  Totals are plain numbers, which keeps growing the array cheap.
-    """
 
-    def step(done: Column, month: Column) -> Column:
-        last = F.when(month["seguido"], F.try_element_at(done, F.lit(-1)))
-        second = F.when(month["seguido2"], F.try_element_at(done, F.lit(-2)))
-        return F.array_append(done, total(month, last, second))
+def folded(months: Column, step: Callable[[Column, Column], Column], kind: str) -> Column:
+    """Array of results, one for each month: ``step(month, last)`` with the result before it.
 
-    return F.aggregate(months, F.array().cast("array<bigint>"), step)
+    ``kind`` is the type of a result; ``last`` is NULL for the first month.
+    """
 
+    def block(done: Column, some: Column) -> Column:
+        last = F.element_at(F.element_at(done, -1), -1)
+        return F.array_append(
+            done,
+            F.aggregate(
+                some,
+                F.array(last),
+                lambda part, month: F.array_append(part, step(month, F.element_at(part, -1)).cast(kind)),
+            ),
+        )
 
-def _shifted(totals: Column, by: int) -> Column:
-    """The array moved right: element i holds what was at i - by."""
-    lead = F.array_repeat(F.lit(None).cast("bigint"), by)
-    return F.slice(F.concat(lead, totals), F.lit(1), F.size(totals))
+    count = F.floor((F.size(months) - 1) / BLOCK).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), count), lambda i: F.slice(months, i * BLOCK + 1, F.lit(BLOCK)))
+    done = F.aggregate(blocks, F.array(F.array(F.lit(None).cast(kind))), block)
+    # Every block begins with the result before it.
+    return F.flatten(F.transform(F.slice(done, F.lit(2), F.size(months)), lambda part: F.slice(part, 2, BLOCK)))
 
 
-def _one_row_per_month(frame: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """Explodes ``_meses`` with its totals: ``total``, and the totals one and two
-    months earlier as ``antes`` and ``antes2`` (NULL where a month is missing)."""
-    zipped = F.arrays_zip(
-        F.col("_meses"),
-        F.col("_total").alias("total"),
-        _shifted(F.col("_total"), 1).alias("antes"),
-        _shifted(F.col("_total"), 2).alias("antes2"),
-    )
-    rows = frame.select(*keep, F.inline(zipped)).select(
-        *keep, "_meses.*", "total", "antes", "antes2"
-    )
-    return rows.withColumns(
-        {
-            "antes": F.when(F.col("seguido"), F.col("antes")),
-            "antes2": F.when(F.col("seguido2"), F.col("antes2")),
-        }
+def month_rows(
+    events: Sequence[DataFrame],
+    key: str,
+    results: Callable[[Column], Column],
+    derived: dict[str, Column] | None = None,
+) -> DataFrame:
+    """One row per key and month: the events' columns (sums, or the greatest of dates and ids) and
+    the fields of ``results``, which is given the array of a key's months in order.
+
+    Each frame of ``events`` has the key, ``periodo`` and some columns of its own; a month needs a
+    document or a stored balance (``fijo``).  ``derived``: columns of a month's own amounts.
+    """
+    together = events[0]
+    for frame in events[1:]:
+        together = together.unionByName(frame, allowMissingColumns=True)
+    values = [c for c in together.columns if c not in (key, "periodo")]
+    derived = derived or {}
+    months = (
+        together.repartition(key)
+        .groupBy(key, "periodo")
+        .agg(*[F.max(c).alias(c) for c in values])
+        .where("documentoID is not null or fijo is not null")
+        .withColumns(derived)
+        .groupBy(key)
+        .agg(F.sort_array(F.collect_list(F.struct("periodo", *values, *derived))).alias("_meses"))
     )
+    rows = months.select(key, F.inline(F.arrays_zip("_meses", results(F.col("_meses")).alias("_hecho"))))
+    return rows.select(key, "_meses.*", F.col("_hecho").alias("hecho")).where("documentoID is not null and fijo is null")
 
 
-def _monthly_documents(documents: DataFrame) -> DataFrame:
-    """One row per building with its documents as an array ordered by month.
+def _follows(month: Column, last: Column) -> Column:
+    return last["periodo"] == month["periodo"] - 1
 
-    ``seguido`` says that the element before is the month before, ``seguido2``
-    that the same holds for the one before that; ``egresosPrevios`` is the outgo
-    of the month before.
-    """
-    packed = documents.groupBy("consorcioID").agg(
-        F.sort_array(
-            F.collect_list(
-                F.struct(
-                    "periodo",
-                    "documentoID",
-                    to_cents(F.col("expOrdinarias")).alias("ordinario"),
-                    to_cents(F.col("expExtraordinarias")).alias("extra"),
-                )
-            )
-        ).alias("_lista")
+
+def _documents(documents: DataFrame) -> DataFrame:
+    return documents.select(
+        "consorcioID",
+        F.col("periodo").cast("bigint").alias("periodo"),
+        "documentoID",
+        to_cents(F.col("expOrdinarias")).alias("ordinario"),
+        to_cents(F.col("expExtraordinarias")).alias("extra"),
     )
 
-    def look_back(month: Column, position: Column) -> Column:
-        before, before_that = F.get("_lista", position - 1), F.get("_lista", position - 2)
-        one = F.coalesce(before["periodo"] == month["periodo"] - 1, F.lit(False))
-        two = F.coalesce(before_that["periodo"] == month["periodo"] - 2, F.lit(False))
-        return F.struct(
-            *[month[n].alias(n) for n in ("periodo", "documentoID", "ordinario", "extra")],
-            F.when(one, before["ordinario"] + before["extra"]).alias("egresosPrevios"),
-            one.alias("seguido"),
-            (one & two).alias("seguido2"),
-        )
 
-    return packed.select("consorcioID", F.transform("_lista", look_back).alias("_meses"))
+def _next(periodo: str = "periodo") -> Column:
+    """The month that takes a payment of this one into account."""
+    return (F.col(periodo) + 1).cast("bigint").alias("periodo")
 
 
-def _payments_of_units(
-    units: DataFrame, by_account: DataFrame, by_unit: DataFrame, mode: str
-) -> DataFrame:
-    """Per unit two lists of what was paid in a month.
+def _payments_of_units(units: DataFrame, by_account: DataFrame, by_unit: DataFrame, mode: str) -> list[DataFrame]:
+    """(unit, periodo, ...) of what was paid in the month before.
 
-    ``_paid``: amount and last day; ``_due``: paid by the two due days.  In
-    reference mode the amount is found by the unit's account, in strict mode by
-    the unit itself, like the other two.
+    In reference mode the amount is found by the unit's account, in strict mode by
+    the unit itself, like the sums by the two due days.
     """
-    due = F.struct(
-        F.col("periodo").cast("long").alias("periodo"),
-        to_cents(F.col("hasta10")).alias("hasta10"),
-        to_cents(F.col("hasta15")).alias("hasta15"),
-    )
-
-    def entry(amount: str, last: str) -> Column:
-        return F.struct(
-            F.col("periodo").cast("long").alias("periodo"),
-            to_cents(F.col(amount)).alias("pagos"),
-            F.unix_date(F.col(last)).alias("ultimo"),
-        )
-
+    due = {c: to_cents(F.col(c)) for c in ("hasta10", "hasta15")}
     if mode == "strict":
-        entries = by_unit.select(
-            "unidadFuncionalID", due.alias("_due"), entry("pagado", "ultimo").alias("_paid")
-        )
-    else:
-        accounts = units.where(F.col("CBU_CVU").isNotNull()).select(
-            "unidadFuncionalID", comparable(F.col("CBU_CVU")).alias("_cuenta")
-        )
-        entries = by_unit.select("unidadFuncionalID", due.alias("_due")).unionByName(
-            by_account.join(accounts.distinct(), "_cuenta").select(
-                "unidadFuncionalID", entry("pagos", "ultimoPago").alias("_paid")
-            ),
-            allowMissingColumns=True,
-        )
-    return entries.groupBy("unidadFuncionalID").agg(
-        *[F.collect_list(c).alias(c) for c in ("_due", "_paid")]
+        paid = [to_cents(F.col("pagado")).alias("pagos"), F.col("ultimo")]
+        return [by_unit.select("unidadFuncionalID", _next(), *[v.alias(c) for c, v in due.items()], *paid)]
+    accounts = units.where(F.col("CBU_CVU").isNotNull()).select(
+        "unidadFuncionalID", comparable(F.col("CBU_CVU")).alias("_cuenta")
     )
+    return [
+        by_unit.select("unidadFuncionalID", _next(), *[v.alias(c) for c, v in due.items()]),
+        by_account.join(accounts.distinct(), "_cuenta").select(
+            "unidadFuncionalID", _next(), to_cents(F.col("pagos")).alias("pagos"), F.col("ultimoPago").alias("ultimo")
+        ),
+    ]
 
 
-ACCOUNT_ROWS = "unidadFuncionalID long, consorcioID long, documentoID long, periodo long, " + ", ".join(
-    f"{name} long" for name in batches.AMOUNTS
-)
+_ACCOUNT = "struct<periodo:bigint,previo:bigint,saldoPrevio:bigint,total:bigint,saldo:bigint>"
 
 
 def account_history(
@@ -159,12 +147,14 @@ def account_history(
     by_unit: DataFrame,
     policy: str = "partial_payment",
     mode: str = "reference",
+    stored: DataFrame | None = None,
 ) -> DataFrame:
     """Accounts of every unit for every document of its building.
 
     ``documents``: (consorcioID, periodo, documentoID, expOrdinarias,
-    expExtraordinarias).  ``by_account`` / ``by_unit``: payments summed by month
-    (see ``operators.payments``).
+    expExtraordinarias), one for a building and month.  ``by_account`` / ``by_unit``:
+    payments summed by month (see ``operators.payments``).  ``stored``:
+    (unidadFuncionalID, periodo, totalPagar, saldo) of accounts there are already.
     """
     check_mode(mode)
     check_policy(policy)
@@ -173,68 +163,109 @@ def account_history(
         "consorcioID",
         (F.col("coeficiente").cast("decimal(4,2)") * 100).cast("bigint").alias("coeficiente"),
     )
-    with_payments = own.join(
-        _payments_of_units(units, by_account, by_unit, mode), "unidadFuncionalID", "left"
-    )
-    ready = lookup_join(with_payments, _monthly_documents(documents), ["consorcioID"]).select(
-        "unidadFuncionalID", "consorcioID", "coeficiente", "_meses", "_due", "_paid"
-    )
+    # A unit is in the result as often as its building has documents; those are few.
+    charged = lookup_join(own, _documents(documents), ["consorcioID"])
+    fixed = [
+        F.lit(None).cast("bigint").alias("fijo"),
+        F.lit(None).cast("bigint").alias("fijoSaldo"),
+    ]
+    events = [charged.select("*", *fixed), *_payments_of_units(units, by_account, by_unit, mode)]
+    if stored is not None:
+        events.append(
+            stored.select(
+                "unidadFuncionalID",
+                F.col("periodo").cast("bigint").alias("periodo"),
+                to_cents(F.col("totalPagar")).alias("fijo"),
+                to_cents(F.col("saldo")).alias("fijoSaldo"),
+            )
+        )
 
-    def run(parts):
-        for part in parts:
-            yield batches.accounts(part, policy)
+    def results(months: Column) -> Column:
+        def step(month: Column, last: Column) -> Column:
+            known = {
+                "previo": zero_if_null(F.when(_follows(month, last), last["total"])),
+                "saldoPrevio": zero_if_null(F.when(_follows(month, last), last["saldo"])),
+            }
+            total = account_total(
+                lambda n: known[n] if n in known else month[n], policy, Parts(month["propio"], month["resto"])
+            )
+            return F.struct(
+                month["periodo"],
+                known["previo"],
+                known["saldoPrevio"],
+                F.coalesce(month["fijo"], total),
+                F.coalesce(month["fijoSaldo"], known["previo"] - zero_if_null(month["pagos"])),
+            )
+
+        return folded(months, step, _ACCOUNT)
 
-    months = ready.mapInArrow(run, ACCOUNT_ROWS)
-    return months.select(
+    own = own_charge(F.col, policy)
+    rows = month_rows(events, "unidadFuncionalID", results, {"propio": own.whole, "resto": own.rest})
+    known = ("previo", "saldoPrevio")
+    amounts = account_amounts(
+        lambda n: F.col(f"hecho.{n}") if n in known else F.col(n), policy, F.col("hecho.total")
+    )
+    return rows.select(
         "unidadFuncionalID",
         "consorcioID",
         "documentoID",
-        *as_money({name: F.col(name) for name in batches.AMOUNTS}),
+        *as_money(amounts),
         index_year(F.col("periodo")).cast("int").alias("anio"),
         index_month(F.col("periodo")).cast("int").alias("mes"),
     )
 
 
+_POSITION = "struct<periodo:bigint,saldoPrevio:bigint,egresosPrevios:bigint,total:bigint,egresos:bigint>"
+
+
 def position_history(
-    documents: DataFrame, by_building: DataFrame, mode: str = "reference"
+    documents: DataFrame, by_building: DataFrame, mode: str = "reference", stored: DataFrame | None = None
 ) -> DataFrame:
     """Cash position of every building for every one of its documents.
 
-    ``by_building``: payments summed by building and month.
+    ``by_building``: payments summed by building and month.  ``stored``:
+    (consorcioID, periodo, saldoFinal, egresosTotales) of positions there are already.
     """
     check_mode(mode)
     names = ["hasta10", "hasta15", "desde10", "desde11"]
-    paid_entry = F.struct("periodo", F.struct(*[to_cents(F.col(n)).alias(n) for n in names]))
-    payments = by_building.groupBy("consorcioID").agg(
-        F.map_from_entries(F.collect_list(paid_entry)).alias("_pagos")
-    )
-    ready = _monthly_documents(documents).join(payments, "consorcioID", "left")
+    none = [F.lit(None).cast("bigint").alias(c) for c in ("fijo", "fijoEgresos")]
+    events = [
+        _documents(documents).select("*", *none),
+        by_building.select("consorcioID", _next(), *[to_cents(F.col(n)).alias(n) for n in names]),
+    ]
+    if stored is not None:
+        events.append(
+            stored.select(
+                "consorcioID",
+                F.col("periodo").cast("bigint").alias("periodo"),
+                to_cents(F.col("saldoFinal")).alias("fijo"),
+                to_cents(F.col("egresosTotales")).alias("fijoEgresos"),
+            )
+        )
 
-    def paid(name: str, period: Column) -> Column:
-        return F.try_element_at(F.col("_pagos"), period - 1)[name]
+    def results(months: Column) -> Column:
+        def step(month: Column, last: Column) -> Column:
+            known = {
+                "saldoPrevio": F.when(_follows(month, last), last["total"]),
+                "egresosPrevios": F.when(_follows(month, last), last["egresos"]),
+            }
+            return F.struct(
+                month["periodo"],
+                known["saldoPrevio"],
+                known["egresosPrevios"],
+                F.coalesce(month["fijo"], final_balance(lambda n: known[n] if n in known else month[n])),
+                F.coalesce(month["fijoEgresos"], zero_if_null(month["ordinario"]) + zero_if_null(month["extra"])),
+            )
 
-    def total(month: Column, before: Column, before_that: Column) -> Column:
-        known = {"saldoPrevio": before, **{n: paid(n, month["periodo"]) for n in names}}
-        return final_balance(lambda n: known[n] if n in known else month[n])
+        return folded(months, step, _POSITION)
 
-    folded = ready.withColumn("_total", running_totals(F.col("_meses"), total))
-    rows = _one_row_per_month(folded, ["consorcioID", "_pagos"])
-    months = rows.select(
+    rows = month_rows(events, "consorcioID", results)
+    known = ("saldoPrevio", "egresosPrevios")
+    amounts = position_amounts(lambda n: F.col(f"hecho.{n}") if n in known else F.col(n), mode)
+    return rows.select(
         "consorcioID",
         "documentoID",
-        "periodo",
-        "ordinario",
-        "extra",
-        "egresosPrevios",
-        "total",
-        F.col("antes").alias("saldoPrevio"),
-        *[paid(n, F.col("periodo")).alias(n) for n in names],
-    )
-    amounts = {**position_amounts(F.col, mode), "saldoFinal": F.col("total")}
-    return months.select(
-        "consorcioID",
-        "documentoID",
-        *as_money(amounts),
-        index_year(F.col("periodo")).alias("anio"),
-        index_month(F.col("periodo")).alias("mes"),
+        *as_money({**amounts, "saldoFinal": F.col("hecho.total")}),
+        index_year(F.col("periodo")).cast("int").alias("anio"),
+        index_month(F.col("periodo")).cast("int").alias("mes"),
     )

@@ -7,9 +7,8 @@ part, and the pair is rounded once, half away from zero.  That is exact up to 9e
 units of currency, wherever the parts of a sum fit; beyond it an overflow is an
 error (ANSI mode).
 
-The same expressions serve one month at a time (plain columns) and, for buildings, a
-whole history at a time (struct fields inside a fold).  ``operators.history`` has
-them once more for arrays of units.
+The same expressions serve one month at a time (plain columns) and a whole history
+(struct fields inside the fold of ``operators.history``).
 """
 
 from __future__ import annotations
@@ -103,63 +102,60 @@ def _percent(amount: Column, rate: int, condition: Column | None = None) -> Part
     return times(amount, rate, 100).only_if(condition)
 
 
-def account_total(month, policy: str = "partial_payment") -> Column:
+def own_charge(month, policy: str = "partial_payment") -> Parts:
+    """What a unit's month adds by itself: its shares (flat: the building totals) less what was paid."""
+    check_policy(policy)
+    paid = Parts(-zero_if_null(month("pagos")))
+    if policy == "flat":
+        return paid + Parts(zero_if_null(month("ordinario")) + zero_if_null(month("extra")))
+    return paid + share(month("ordinario"), month("coeficiente")) + share(month("extra"), month("coeficiente"))
+
+
+def interest_of(month, policy: str = "partial_payment", in_total: bool = True) -> Parts:
+    """Interest on the month before.  With the last-payment policy the one in the total goes
+    by the due days of the current month, the one shown by those of the month before."""
+    check_policy(policy)
+    if policy == "partial_payment":
+        return late_interest(month("previo"), month("hasta10"), month("hasta15"))
+    previous, balance = zero_if_null(month("previo")), zero_if_null(month("saldoPrevio"))
+    if policy == "flat":
+        return _percent(previous, FIRST_RATE) + _percent(balance, SECOND_RATE)
+    if in_total:
+        # Only a missing payment is late by the due days of the current month.
+        never = month("ultimo").isNull()
+        return _percent(previous, FIRST_RATE, never) + _percent(balance, SECOND_RATE, never)
+
+    def late(day: int) -> Column:
+        return month("ultimo").isNull() | (F.dayofmonth(month("ultimo")) > day)
+
+    return _percent(previous, FIRST_RATE, late(10)) + _percent(previous, SECOND_RATE, late(15))
+
+
+def account_total(month, policy: str = "partial_payment", own: Parts | None = None) -> Column:
     """Amount to pay for one unit and month.
 
     ``month(name)`` gives the inputs: ``previo`` and ``saldoPrevio`` (total and
     balance of the month before, NULL if there is none), ``pagos`` and ``ultimo``
     (amount and last day paid in the month before), ``hasta10``, ``hasta15``,
-    ``ordinario``, ``extra`` (building totals) and ``coeficiente``.
+    ``ordinario``, ``extra`` (building totals) and ``coeficiente``.  ``own``: the month's
+    :func:`own_charge`, where it is known already.
     """
-    check_policy(policy)
-    previous = zero_if_null(month("previo"))
-    open_parts = Parts(previous - zero_if_null(month("pagos")))
-    shares = share(month("ordinario"), month("coeficiente")) + share(
-        month("extra"), month("coeficiente")
-    )
-    if policy == "partial_payment":
-        interest = late_interest(month("previo"), month("hasta10"), month("hasta15"))
-        return rounded(interest + shares + open_parts)
-    balance = zero_if_null(month("saldoPrevio"))
-    if policy == "last_payment":
-        # Due days of the current month: only a missing payment is late by them.
-        never = month("ultimo").isNull()
-        interest = _percent(previous, FIRST_RATE, never) + _percent(balance, SECOND_RATE, never)
-        return F.greatest(rounded(open_parts + interest + shares), F.lit(0).cast("bigint"))
-    interest = _percent(previous, FIRST_RATE) + _percent(balance, SECOND_RATE)
-    whole = Parts(zero_if_null(month("ordinario")) + zero_if_null(month("extra")))
-    return rounded(open_parts + interest + whole)
+    own = own_charge(month, policy) if own is None else own
+    total = rounded(Parts(zero_if_null(month("previo"))) + interest_of(month, policy) + own)
+    return F.greatest(total, F.lit(0).cast("bigint")) if policy == "last_payment" else total
 
 
-def account_amounts(month, policy: str = "partial_payment") -> dict[str, Column]:
+def account_amounts(month, policy: str = "partial_payment", total: Column | None = None) -> dict[str, Column]:
     """All amounts of one unit and month, from the inputs of :func:`account_total`."""
-    check_policy(policy)
     previous, paid = zero_if_null(month("previo")), zero_if_null(month("pagos"))
-    if policy == "partial_payment":
-        interest = late_interest(month("previo"), month("hasta10"), month("hasta15"))
-        balance = paid - previous
-    elif policy == "last_payment":
-        # Due days of the month before, in which the last payment lies.
-        def late(day: int) -> Column:
-            return month("ultimo").isNull() | (F.dayofmonth(month("ultimo")) > day)
-
-        interest = _percent(previous, FIRST_RATE, late(10)) + _percent(
-            previous, SECOND_RATE, late(15)
-        )
-        balance = previous - paid
-    else:
-        interest = _percent(previous, FIRST_RATE) + _percent(
-            zero_if_null(month("saldoPrevio")), SECOND_RATE
-        )
-        balance = previous - paid
     return {
         "saldoAnterior": previous,
         "pagosRecibidos": paid,
-        "saldo": balance,
-        "InteresesPorMora": rounded(interest),
+        "saldo": paid - previous if policy == "partial_payment" else previous - paid,
+        "InteresesPorMora": rounded(interest_of(month, policy, in_total=False)),
         "expensasOrdinarias": rounded(share(month("ordinario"), month("coeficiente"))),
         "expensasExtraordinarias": rounded(share(month("extra"), month("coeficiente"))),
-        "totalPagar": account_total(month, policy),
+        "totalPagar": account_total(month, policy) if total is None else total,
     }
 
 

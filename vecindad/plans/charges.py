@@ -13,10 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecindad.functions.dates import (
+    index_month,
+    index_year,
     month_bounds,
     month_index,
+    month_indexes,
     previous_period,
     resolve_period,
+    session_date,
     within,
 )
 from vecindad.functions.text import comparable, joined, surrogate
@@ -52,16 +56,8 @@ def generate_documents(
 ) -> DataFrame:
     """New charge documents: one per building and period, where none exists."""
     day = F.lit(run_date) if run_date else F.current_date()
-    wanted = buildings.select(
-        "consorcioID",
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(year).alias("anio"), F.lit(month).alias("mes"))
-                    for year, month in periods
-                ]
-            )
-        ),
+    wanted = buildings.select("consorcioID", F.explode(month_indexes(periods)).alias("_periodo")).select(
+        "consorcioID", index_year(F.col("_periodo")).alias("anio"), index_month(F.col("_periodo")).alias("mes")
     )
     missing = insert_if_missing(wanted, documents, ["consorcioID", "anio", "mes"])
     return missing.select(
@@ -269,9 +265,9 @@ def run_period(
 
     ``tables`` holds the stored tables by name.  New rows are returned for
     documents, positions and accounts, whole tables for the two cost tables
-    (with documents filled in).  Without a period the month before today is run.
+    (with documents filled in).  Without a period the month before today is run, by the session's time zone.
     """
-    year, month = resolve_period(year, month, run_date)
+    year, month = resolve_period(year, month, run_date or session_date(tables["Consorcio"].sparkSession))
     buildings, units = tables["Consorcio"], tables["Unidad_Funcional"]
     new_documents = generate_documents(buildings, tables["Expensas"], [(year, month)], run_date)
     documents = tables["Expensas"].unionByName(new_documents)
@@ -323,8 +319,9 @@ def charge_history(
 ) -> dict[str, DataFrame]:
     """Documents, totals, positions and accounts for every month of a span.
 
-    Equal to running the months one after the other on tables that hold no
-    positions or accounts yet.
+    Equal to running the months one after the other: balances stored for the month before
+    the span are continued, and months of the span that have their positions or
+    accounts already keep them and are not given again.
     """
     buildings, units = tables["Consorcio"], tables["Unidad_Funcional"]
     months = [
@@ -337,25 +334,51 @@ def charge_history(
     )
     documents = tables["Expensas"].unionByName(new_documents)
     charged = documents_with_totals(documents, totals)
-    # A month looks back two months at what was paid.
-    start = previous_period(*previous_period(*first))
+    # Payments count in the month after.
+    start = previous_period(*first)
     span = within(F.col("fechaPago"), month_bounds(*start)[0], month_bounds(*last)[1])
     lines = collected(tables["Detalle_CSV"].where(span))
+    accounts = _balances(tables, "Estado_Cuentas", start, last, ["unidadFuncionalID", "documentoID", "totalPagar", "saldo"])
+    open_documents = charged
+    if accounts is not None:
+        # As in a monthly run: a document with any account is done.
+        open_documents = charged.join(accounts.select("documentoID").distinct(), "documentoID", "left_anti")
     return {
         "Expensas": _in_order(new_documents, "Expensas"),
         "TotalesGastos": totals,
-        "Estado_Financiero": position_history(charged, paid_by_building(lines, units), mode),
+        "Estado_Financiero": position_history(
+            charged,
+            paid_by_building(lines, units),
+            mode,
+            _balances(tables, "Estado_Financiero", start, last, ["consorcioID", "saldoFinal", "egresosTotales"]),
+        ),
         "Estado_Cuentas": account_history(
             units,
-            charged,
+            open_documents,
             paid_by_account(lines),
             paid_by_unit(lines),
             policy,
             mode,
+            accounts,
         ),
     }
 
 
+def _balances(
+    tables: Mapping[str, DataFrame], name: str, first: tuple[int, int], last: tuple[int, int], columns: list[str]
+) -> DataFrame | None:
+    """(columns, periodo) of the stored rows from one month to another; only those months are read."""
+    if name not in tables:
+        return None
+    rows = tables[name]
+    if not set(PERIOD) <= set(rows.columns):
+        rows = rows.join(tables["Expensas"].select("documentoID", *PERIOD), "documentoID")
+    low, high = (year * 12 + month - 1 for year, month in (first, last))
+    index = F.col("anio") * 12 + F.col("mes") - 1
+    chosen = rows.where(F.col("anio").between(first[0], last[0]) & index.between(low, high))
+    return chosen.select(*columns, index.alias("periodo"))
+
+
 def documents_with_totals(documents: DataFrame, totals: DataFrame) -> DataFrame:
     """Documents of the months in ``totals``, with their building's totals.
 
@@ -408,7 +431,7 @@ def store_period(
     ``again`` asks for the positions once more, as running a month again does there.
     Costs stay as stored; :func:`stored_costs` reads them with their documents.
     """
-    year, month = resolve_period(year, month, run_date)
+    year, month = resolve_period(year, month, run_date or session_date(spark))
 
     def stored(name: str) -> DataFrame:
         return read_stored(spark, root, name)
@@ -440,6 +463,38 @@ def store_period(
         write_statement_xml(statement, xml_root, year, month)
 
 
+def store_history(
+    spark: SparkSession,
+    root: str,
+    first: tuple[int, int],
+    last: tuple[int, int],
+    *,
+    mode: str = "reference",
+    policy: str = "partial_payment",
+    run_date: dt.date | None = None,
+) -> None:
+    """Runs all months of a span in one pass on the tables stored under ``root``.
+
+    Continues what is stored.  Documents are stored first, then positions and accounts;
+    a run that was cut short can be started again and adds what is missing.
+    """
+
+    def tables() -> dict[str, DataFrame]:
+        return {name: read_stored(spark, root, name) for name in RUN_TABLES}
+
+    options = {"mode": mode, "policy": policy, "run_date": run_date}
+    append(charge_history(tables(), first, last, **options)["Expensas"], f"{root}/Expensas", PERIOD)
+    for name, key in (("Estado_Financiero", "consorcioID"), ("Estado_Cuentas", "unidadFuncionalID")):
+        rows = charge_history(tables(), first, last, **options)[name]
+        # A month's rows in few files.
+        append(_of_table(rows, name).repartition(*PERIOD, F.xxhash64(key) % 16), f"{root}/{name}", PERIOD)
+
+
+def _of_table(frame: DataFrame, name: str) -> DataFrame:
+    names = TABLES[name].fieldNames()
+    return frame.select(*names, *[c for c in PERIOD if c not in names])
+
+
 def stored_costs(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A stored cost table with the documents of its buildings and months filled in."""
     return link_costs(read_stored(spark, root, name), read_stored(spark, root, "Expensas"))
