@@ -10,6 +10,9 @@
 
 A document is kept with what is left of its text, also if that is empty, and n_chars
 follows the text.  All stages but the last return the columns of their input.
+
+The first two stages hand whole rows to Python while Spark writes large row groups, so
+they take smaller Arrow batches; that bounds memory and changes no result.
 """
 
 from __future__ import annotations
@@ -21,6 +24,25 @@ from vecindad.llm import decontamination, jaccard_join, packing, substrings, tox
 from vecindad.llm.tables import read, stored
 
 
+#: Arrow batches of the first two stages.
+SMALL_BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+}
+_usual: dict[str, str] = {}
+
+
+def _small_batches(spark: SparkSession) -> None:
+    for key, value in SMALL_BATCHES.items():
+        _usual.setdefault(key, spark.conf.get(key))
+        spark.conf.set(key, value)
+
+
+def _usual_batches(spark: SparkSession) -> None:
+    while _usual:
+        spark.conf.set(*_usual.popitem())
+
+
 def _counted(docs: DataFrame) -> DataFrame:
     if "n_chars" not in docs.columns:
         return docs
@@ -29,13 +51,19 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    # Also while the result is written: the next stage goes back to the usual ones.
+    _small_batches(spark)
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).where(~toxicity.rejected(F.col("_score"))).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # The stage's own contract; four words and 85 % are that of op9 alone.
-    return jaccard_join.representatives(docs, shingle=5, percent=80)
+    _small_batches(spark)
+    try:
+        return jaccard_join.representatives(docs, shingle=5, percent=80)
+    finally:
+        _usual_batches(spark)  # What is left to do has no Python.
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
