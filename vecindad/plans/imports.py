@@ -23,7 +23,8 @@ from vecindad.operators.costs import check_mode
 from vecindad.operators.payments import clean_lines, detail_lines, match_payments, typed_lines
 from vecindad.schemas import DELIVERY, TABLES
 from vecindad.sinks.tables import append
-from vecindad.sources.files import LINE, read_buildings, read_payments, read_persons, read_units
+from vecindad.sinks.versions import add_rows, change_rows, published
+from vecindad.sources.files import LINE, read_buildings, read_payments, read_persons, read_unit_accounts, read_units
 from vecindad.sources.tables import read_stored
 
 
@@ -152,6 +153,28 @@ def update_accounts(units: DataFrame, staged: DataFrame, buildings: DataFrame) -
     return changed.select(*units.columns)
 
 
+def rejected_accounts(units: DataFrame, staged: DataFrame, buildings: DataFrame) -> DataFrame:
+    """Staged account lines without an account, or of a unit that is not stored."""
+    names = buildings.select("consorcioID", comparable(F.col("nombre")).alias("_nombre"))
+    known = units.select(
+        "consorcioID", comparable(F.col("piso")).alias("_piso"), comparable(F.col("departamento")).alias("_depto")
+    )
+    keyed = staged.withColumns(
+        {
+            "_nombre": comparable(F.col("NombreConsorcio")),
+            "_piso": comparable(F.col("piso")),
+            "_depto": comparable(F.col("departamento")),
+        }
+    ).join(one_row_per_key(names, ["_nombre"]), "_nombre", "left")
+    key = ["consorcioID", "_piso", "_depto"]
+    found = known.groupBy(*key).agg(F.lit(True).alias("_hay"))
+    return (
+        keyed.join(found, key, "left")
+        .where(F.col("_hay").isNull() | (F.coalesce(F.trim("CBU_CVU"), F.lit("")) == ""))
+        .select(*staged.columns)
+    )
+
+
 # --- persons ------------------------------------------------------------------
 def _placed_persons(staged: DataFrame, units: DataFrame) -> DataFrame:
     """Cleaned persons at the units of their account; without one the unit is NULL."""
@@ -321,16 +344,43 @@ def _store_rejected(rows: DataFrame, root: str, table: str, batch: str) -> None:
     rows.write.mode("overwrite").parquet(f"{root}/Rechazados/tabla={table}/lote={batch}")
 
 
-def store_building_file(spark: SparkSession, root: str, path: str, mode: str = "reference") -> None:
-    """Adds the buildings of a file."""
-    append(import_buildings(read_buildings(spark, path), read_stored(spark, root, "Consorcio"), mode), f"{root}/Consorcio")
+def store_building_file(
+    spark: SparkSession, root: str, path: str, mode: str = "reference", again: bool = False
+) -> None:
+    """Adds the buildings of a file that are not stored yet, by id.
+
+    So a run can be repeated; ``again`` asks for all of them once more in reference mode.
+    """
+    stored = read_stored(spark, root, "Consorcio")
+    new = import_buildings(read_buildings(spark, path), stored, mode)
+    if not again:
+        new = insert_if_missing(new, stored, ["consorcioID"])
+    append(new, f"{root}/Consorcio")
 
 
 def store_unit_file(spark: SparkSession, root: str, path: str, batch: str, mode: str = "reference") -> None:
     """Adds the units of a file that are not stored yet; units already stored are left alone, so it can be repeated."""
     staged, buildings = read_units(spark, path), read_stored(spark, root, "Consorcio")
     _store_rejected(rejected_units(staged, buildings), root, "Unidad_Funcional", batch)
-    append(import_units(staged, buildings, read_stored(spark, root, "Unidad_Funcional"), mode), f"{root}/Unidad_Funcional")
+    new = import_units(staged, buildings, read_stored(spark, root, "Unidad_Funcional"), mode)
+    add_rows(spark, root, "Unidad_Funcional", new)
+
+
+def store_account_file(spark: SparkSession, root: str, path: str, batch: str) -> int:
+    """Fills the account numbers of a file in the stored units; runs between units and persons.
+
+    Only buckets of units whose number is another one are written; the result is how many.
+    Until the new version is published the old one is read, also after a run that was
+    cut short; a file stored again changes nothing.
+    """
+    staged, buildings = read_unit_accounts(spark, path), read_stored(spark, root, "Consorcio")
+    before = published(spark, root, "Unidad_Funcional")
+    units = read_stored(spark, root, "Unidad_Funcional")
+    _store_rejected(rejected_accounts(units, staged, buildings), root, "Cuenta", batch)
+    given = staged.where(F.trim("CBU_CVU") != "")
+    changed = update_accounts(units.withColumn("_antes", F.col("CBU_CVU")), given, buildings)
+    changed = changed.withColumn("_cambio", ~F.col("CBU_CVU").eqNullSafe(F.col("_antes")))
+    return change_rows(spark, root, "Unidad_Funcional", changed, units.columns, before)
 
 
 def store_person_file(spark: SparkSession, root: str, path: str, batch: str, mode: str = "reference") -> None:

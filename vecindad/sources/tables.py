@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from vecindad.schemas import TABLES
+from vecindad.sinks.versions import VERSIONED, published, read_version
 
 # Partition columns of stored tables; they are part of what is read back.
 _PERIOD = (StructField("anio", IntegerType()), StructField("mes", IntegerType()))
@@ -29,10 +30,13 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def read_stored(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Stored table, or an empty one if it was never written."""
+    """Stored table (its last published version), or an empty one if it was never written."""
     declared = TABLES[name]
     extra = [f for f in PARTITIONS.get(name, ()) if f.name not in declared.fieldNames()]
     schema = StructType([*declared.fields, *extra])
+    version = published(spark, root, name) if name in VERSIONED else None
+    if version is not None:
+        return read_version(spark, version, schema, root)
     try:
         return spark.read.schema(schema).parquet(f"{root}/{name}")
     except AnalysisException as error:
