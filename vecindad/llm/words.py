@@ -7,6 +7,7 @@ of a multi-byte character alike, so byte work equals code point work.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import cache
 from typing import NamedTuple
@@ -63,6 +64,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 _powers: dict[str, np.ndarray] = {}
+#: Powers kept in a worker; a longer text has its own.
+KEPT_POWERS = 1 << 21
 
 
 def powers(n: int, inverse: bool = False) -> np.ndarray:
@@ -71,6 +74,8 @@ def powers(n: int, inverse: bool = False) -> np.ndarray:
     if len(_powers.get(key, ())) < n:
         steps = np.full(max(n, 1 << 16), _INVERSE if inverse else _BASE, np.uint64)
         steps[0] = 1
+        if n > KEPT_POWERS:
+            return np.cumprod(steps)
         _powers[key] = np.cumprod(steps)
     return _powers[key][:n]
 
@@ -97,6 +102,22 @@ def slices(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
         to = min(max(to, at + 1), len(texts))
         yield at, to, raw[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
         at = to
+    give_back()
+
+
+@cache
+def _trim():
+    """glibc's malloc_trim, where there is one."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):
+        return lambda pad: 0
+
+
+def give_back() -> None:
+    """Freed memory goes back to the system: a Python worker outlives its task, and others need the room."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
 
 
 def words(raw: np.ndarray, offsets: np.ndarray, mask: np.ndarray, codes: np.ndarray | None) -> Words:
