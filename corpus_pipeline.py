@@ -11,8 +11,8 @@
 A document is kept with what is left of its text, also if that is empty, and n_chars
 follows the text.  All stages but the last return the columns of their input.
 
-The first two stages hand whole rows to Python while Spark writes large row groups, so
-they take smaller Arrow batches; that bounds memory and changes no result.
+All but the last take smaller Arrow batches, as Spark writes large row groups beside the
+Python workers; that bounds memory and changes no result.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from vecindad.llm import decontamination, jaccard_join, packing, substrings, tox
 from vecindad.llm.tables import read, stored
 
 
-#: Arrow batches of the first two stages.
+#: Arrow batches of all stages but the last.
 SMALL_BATCHES = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
@@ -51,7 +51,7 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # Also while the result is written: the next stage goes back to the usual ones.
+    # Also while the result is written, which is after this returns.
     _small_batches(spark)
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).where(~toxicity.rejected(F.col("_score"))).select(*docs.columns)
@@ -60,21 +60,21 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # The stage's own contract; four words and 85 % are that of op9 alone.
     _small_batches(spark)
-    try:
-        return jaccard_join.representatives(docs, shingle=5, percent=80)
-    finally:
-        _usual_batches(spark)  # What is left to do has no Python.
+    return jaccard_join.representatives(docs, shingle=5, percent=80)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     return _counted(substrings.clean(docs))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     return _counted(decontamination.clean(docs, read(spark, sf_dir, "benchmark")))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _usual_batches(spark)
     return packing.pack(docs)
 
 
