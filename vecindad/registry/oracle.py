@@ -467,6 +467,15 @@ FROM supplier""",
     "unit_accounts": _accounts("partial_payment"),
     "unit_accounts_last_payment": _accounts("last_payment"),
     "unit_accounts_flat": _accounts("flat"),
+    "unit_accounts_strict": _accounts("partial_payment"),
+    "unit_accounts_continued": _accounts("partial_payment"),
+    "file_lines_accounts": """
+SELECT CASE WHEN c_custkey % 7 <> 0 THEN lpad(CAST(c_custkey AS VARCHAR), 22, '0') END AS "CBU_CVU",
+       c_mktsegment AS "NombreConsorcio", CAST(c_custkey AS INTEGER) AS "nroUnidadFuncional",
+       '1' AS piso, 'B' AS departamento FROM customer""",
+    "file_lines_buildings": """
+SELECT s_name AS nombre, 'Calle, ' || CAST(s_suppkey AS VARCHAR) AS direccion,
+       CAST(s_suppkey AS INTEGER) AS unidades, CAST(s_suppkey + 0.5 AS DECIMAL(10,2)) AS m2 FROM supplier""",
     "unit_statement": f"{_STATEMENT} SELECT * FROM statement",
     "unit_statement_xml": _STATEMENT_XML,
     "paid_within_month": f"""WITH {_PAID}

@@ -199,7 +199,7 @@ def financial_position_strict(spark: SparkSession, folder: str) -> DataFrame:
     return _position(spark, folder, "strict")
 
 
-def _accounts(spark: SparkSession, folder: str, policy: str) -> DataFrame:
+def _accounts(spark: SparkSession, folder: str, policy: str, mode: str = "reference") -> DataFrame:
     lines = star.collected_orders(spark, folder)
     span = star.month_span(spark, folder)
     return account_history(
@@ -208,9 +208,27 @@ def _accounts(spark: SparkSession, folder: str, policy: str) -> DataFrame:
         paid_by_account(lines),
         paid_by_unit(lines),
         policy,
+        mode,
     )
 
 
+def unit_accounts_strict(spark: SparkSession, folder: str) -> DataFrame:
+    """Paid amounts by unit; every unit has an account of its own here, so the rows are the same."""
+    return _accounts(spark, folder, "partial_payment", "strict")
+
+
+def unit_accounts_continued(spark: SparkSession, folder: str) -> DataFrame:
+    """A history of the months before 1998, and one that continues its balances."""
+    lines, units = star.collected_orders(spark, folder), star.units(spark, folder)
+    charged = _charged_documents(spark, folder, star.month_span(spark, folder))
+    cut = 1998 * 12
+    paid = paid_by_account(lines), paid_by_unit(lines)
+    early = account_history(units, charged.where(F.col("periodo") < cut), *paid)
+    stored = early.where("anio = 1997 and mes = 12").select("unidadFuncionalID", F.lit(cut - 1).alias("periodo"), "totalPagar", "saldo")
+    late = account_history(units, charged.where(F.col("periodo") >= cut), *paid, stored=stored)
+    return early.unionByName(late)
+
+
 def unit_accounts(spark: SparkSession, folder: str) -> DataFrame:
     return _accounts(spark, folder, "partial_payment")
 
@@ -479,6 +497,29 @@ def file_lines_of_persons(spark: SparkSession, folder: str) -> DataFrame:
     return fields.select("Nombre", "Apellido", "DNI", "Email", "Telefono", "CBU_CVU", "EsInquilino")
 
 
+def file_lines_of_accounts(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers written as account lines, some without a number, and read back."""
+    key = F.col("c_custkey").cast("string")
+    account = F.when(F.col("c_custkey") % 7 == 0, F.lit("")).otherwise(F.lpad(key, 22, "0"))
+    line = F.concat_ws("|", account, F.col("c_mktsegment"), key, F.lit("1"), F.lit("B\r"))
+    fields = with_fields(star.table(spark, folder, "customer").select(line.alias(LINE)), "unit_accounts")
+    return fields.select("CBU_CVU", "NombreConsorcio", "nroUnidadFuncional", "piso", "departamento")
+
+
+def file_lines_of_buildings(spark: SparkSession, folder: str) -> DataFrame:
+    """Suppliers written as building lines with quoted addresses, and read back."""
+    key = F.col("s_suppkey").cast("string")
+    address = F.concat(F.lit('"Calle, '), key, F.lit('"'))
+    line = F.concat_ws(",", F.lit("C"), F.col("s_name"), address, key, F.concat(key, F.lit(".50")))
+    fields = with_fields(star.table(spark, folder, "supplier").select(line.alias(LINE)), "buildings")
+    return fields.select(
+        F.col("Nombre del consorcio").alias("nombre"),
+        F.col("Domicilio").alias("direccion"),
+        F.col("Cant unidades funcionales").alias("unidades"),
+        F.col("m2 totales").alias("m2"),
+    )
+
+
 def file_lines_of_units(spark: SparkSession, folder: str) -> DataFrame:
     """Suppliers written as unit lines with decimal commas, and read back."""
     key = F.col("s_suppkey").cast("string")
@@ -578,6 +619,8 @@ QUERIES: dict[str, Query] = {
     "file_lines_payments": file_lines_of_payments,
     "file_lines_persons": file_lines_of_persons,
     "file_lines_units": file_lines_of_units,
+    "file_lines_accounts": file_lines_of_accounts,
+    "file_lines_buildings": file_lines_of_buildings,
     "weekly_cash_flow_xml": weekly_cash_flow_xml,
     "monthly_collection_pivot": monthly_collection_pivot,
     "top_months": top_months,
@@ -597,6 +640,8 @@ QUERIES: dict[str, Query] = {
     "unit_accounts": unit_accounts,
     "unit_accounts_last_payment": unit_accounts_last_payment,
     "unit_accounts_flat": unit_accounts_flat,
+    "unit_accounts_strict": unit_accounts_strict,
+    "unit_accounts_continued": unit_accounts_continued,
     "unit_statement": unit_statement,
     "unit_statement_xml": unit_statement_xml,
     "paid_within_month": paid_within_month,
