@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import pytest
+
 from tests.llm.corpus import ALNUM, LOWER, documents, empty, multiset, rows
 from vecindad.llm import licenses
 
@@ -91,3 +93,28 @@ def test_many_licences_against_brute_force(spark):
     want = {r[0]: labels(r[1]) for r in some}
     assert got == want
     assert all(set(mix) <= set(want[9000 + k].split(",")) for k, mix in enumerate(mixes))
+
+
+def test_many_places_of_one_file(spark):
+    """A long file of one licence, beside others, and lines that only begin like it."""
+    many = "all rights reserved\n" * 4000
+    some = [
+        (1, many, "en", "s", 0, None, None, None),
+        (2, f"{many}{licenses.TEMPLATES[1][1]} {many}", "en", "s", 0, None, None, None),
+        (3, "all rights\nreserved all\n" * 10 + "rights", "en", "s", 0, None, None, None),
+        (4, "gnu general public license " * 500 + "version 3", "en", "s", 0, None, None, None),
+    ]
+    got = {r.doc_id: r.labels for r in licenses.scan(documents(spark, some)).collect()}
+    assert got[1] == "all-rights-reserved" and got[2] == "all-rights-reserved,mit"
+    assert (got[3], got[4]) == (labels(some[2][1]), labels(some[3][1]))
+
+
+def test_templates_as_an_argument(spark):
+    templates = [("x", "alpha beta alpha gamma delta epsilon", "beta alpha"), ("y", "beta", "beta")]
+    texts = ["alpha beta alpha gamma", "ALPHA beta", "beta alpha", "gamma delta epsilon", "no word of them", ""]
+    some = [(k, x, "en", "s", 0, None, None, None) for k, x in enumerate(texts)]
+    got = {r.doc_id: r for r in licenses.scan(documents(spark, some), templates, {"gamma delta": "g"}).collect()}
+    assert [got[k].labels for k in range(6)] == ["x,y", "y", "y", "g", "", ""]
+    assert got[0].score == 1 and got[3].n_base == 1
+    with pytest.raises(ValueError, match="key phrase"):
+        licenses.scan(documents(spark, some), [("z", "alpha beta", "gamma")])

@@ -12,10 +12,13 @@
    template whose key phrase stands in its place is always a candidate.
 4. A candidate counts if the template's mandatory key phrase stands at its place
    word for word, and half of the template's words at theirs; that share is the score.
+   Places lie in the order of the text, so those of a candidate are within a template's
+   length of any word that led to it, and only these are looked at: the work is linear
+   in the places of a file.
 
 All of it is DataFrame code.  The index has as many rows as the templates have rare
 words, whatever the corpus; places found are grouped by file content and template, with
-a map-side combine.
+a map-side combine.  Templates and phrases are arguments; those below are the default.
 
 Defined results: null and empty texts have no words, places or labels; repeated rows
 have the same result each; a null id stays null; an empty table gives no row; other
@@ -26,6 +29,7 @@ from __future__ import annotations
 
 import math
 import string
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,18 +77,25 @@ TEMPLATES = [
 ]
 
 _NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-VOCABULARY = sorted({w for p in PHRASES for w in p.split()} | {w for _, t, _ in TEMPLATES for w in t.split()})
+
+#: Rows of label, passage and key phrase, in lower case, words parted by one space.
+Templates = Sequence[tuple[str, str, str]]
+
+
+def vocabulary(templates: Templates = TEMPLATES, phrases: Mapping[str, str] = PHRASES) -> list[str]:
+    return sorted({w for p in phrases for w in p.split()} | {w for _, text, _ in templates for w in text.split()})
 
 
 def _lower(text: Column) -> Column:
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 
 
-def places(docs: DataFrame) -> DataFrame:
+def places(docs: DataFrame, known: list[str] | None = None) -> DataFrame:
     """doc_id, n_words, and the places (w, i) of vocabulary words in the order of the text."""
+    known = vocabulary() if known is None else known
     words = F.array_remove(F.split(_lower(F.coalesce(F.col("text").cast("string"), F.lit(""))), _NO_WORD), "")
     found = F.array_compact(
-        F.transform("_words", lambda w, i: F.when(w.isin(VOCABULARY), F.struct(w.alias("w"), i.alias("i"))))
+        F.transform("_words", lambda w, i: F.when(w.isin(known), F.struct(w.alias("w"), i.alias("i"))))
     )
     return (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -107,10 +118,12 @@ def _starts(phrase: str) -> Column:
     return F.array_compact(F.transform(at, here))
 
 
-def index(frequencies: DataFrame, n_docs: int, rare_words: int = RARE_WORDS) -> DataFrame:
+def index(
+    frequencies: DataFrame, n_docs: int, rare_words: int = RARE_WORDS, templates: Templates = TEMPLATES
+) -> DataFrame:
     """(w, template, place): the rarest words of each template and of its key, at each of their places in it."""
     spark = frequencies.sparkSession
-    rows = [(t, k, w, w in key.split()) for t, (_, text, key) in enumerate(TEMPLATES) for k, w in enumerate(text.split())]
+    rows = [(t, k, w, w in key.split()) for t, (_, text, key) in enumerate(templates) for k, w in enumerate(text.split())]
     words = spark.createDataFrame(rows, "template int, place int, w string, in_key boolean")
     idf = F.log((F.lit(n_docs) + 1) / (F.coalesce("df", F.lit(0)) + 1))
     ranked = words.join(frequencies, "w", "left").withColumn("idf", idf)
@@ -126,66 +139,82 @@ def index(frequencies: DataFrame, n_docs: int, rare_words: int = RARE_WORDS) ->
 
 
 def candidates(files: DataFrame, postings: DataFrame) -> DataFrame:
-    """(_file, template, start): where the postings of two or more rare words agree (of all, if there are fewer)."""
+    """(_file, template, start, _near): where the postings of two or more rare words agree (of all, if there are fewer).
+
+    _near is where one of these words stands among the file's places.
+    """
     needed = postings.groupBy("template").agg(F.least(F.lit(2), F.count_distinct("w")).alias("_need"))
     hits = (
-        files.select("_file", F.explode("_places").alias("_p"))
-        .select("_file", F.col("_p.w").alias("w"), F.col("_p.i").alias("i"))
+        files.select("_file", F.posexplode("_places").alias("_near", "_p"))
+        .select("_file", "_near", F.col("_p.w").alias("w"), F.col("_p.i").alias("i"))
         .join(F.broadcast(postings), "w")
     )
+    # Two different words: the least is not the greatest.
     return (
         hits.groupBy("_file", "template", (F.col("i") - F.col("place")).alias("start"))
-        .agg(F.count_distinct("w").alias("_n"))
+        .agg(F.min("_near").alias("_near"), F.min("w").alias("_least"), F.max("w").alias("_most"))
         .join(F.broadcast(needed), "template")
-        .where("_n >= _need")
-        .select("_file", "template", "start")
+        .where((F.col("_need") < 2) | (F.col("_least") < F.col("_most")))
+        .select("_file", "template", "start", "_near")
     )
 
 
-def verified(found: DataFrame, files: DataFrame, coverage: float = COVERAGE) -> DataFrame:
+def verified(
+    found: DataFrame, files: DataFrame, coverage: float = COVERAGE, templates: Templates = TEMPLATES
+) -> DataFrame:
     """(_file, labels, score) of candidates whose key phrase and enough of whose words stand in their places."""
     spark = files.sparkSession
     rows = []
-    for t, (label, text, key) in enumerate(TEMPLATES):
+    for t, (label, text, key) in enumerate(templates):
         words = text.split()
         first = f" {text} ".index(f" {key} ")
         at = len(text[:first].split())
         rows.append((t, label, words, list(range(at, at + len(key.split())))))
-    templates = F.broadcast(
+    table = F.broadcast(
         spark.createDataFrame(rows, "template int, label string, _words array<string>, _key array<int>")
     )
-    spelled = F.transform("_places", lambda p: F.concat_ws("@", p["w"], p["i"]))
-    wanted = F.transform("_words", lambda w, k: F.concat_ws("@", w, k + F.col("start")))
-    key = F.transform("_key", lambda k: F.get(F.col("_wanted"), k))
+    # Places before and after _near that a template of this length can reach.
+    size = F.size("_words")
+    around = F.slice("_places", F.greatest(F.lit(1), F.col("_near") + 2 - size), 2 * size - 1)
+    there = F.filter(
+        F.transform(around, lambda p: F.when(F.get("_words", p["i"] - F.col("start")) == p["w"], p["i"] - F.col("start"))),
+        lambda k: k.isNotNull(),
+    )
     return (
         found.join(files, "_file")
-        .join(templates, "template")
-        .withColumn("_wanted", wanted)
-        .withColumn("_there", F.array_intersect(F.col("_wanted"), spelled))
-        .withColumn("_share", F.size("_there") / F.size("_wanted"))
-        .where((F.col("_share") >= coverage) & (F.size(F.array_except(key, F.col("_there"))) == 0))
+        .join(table, "template")
+        .select("_file", "label", "_key", size.alias("_size"), there.alias("_there"))
+        .withColumn("_share", F.size("_there") / F.col("_size"))
+        .where((F.col("_share") >= coverage) & (F.size(F.array_except("_key", "_there")) == 0))
         .groupBy("_file")
         .agg(F.collect_set("label").alias("_added"), F.max("_share").alias("_share"))
     )
 
 
-def scan(docs: DataFrame) -> DataFrame:
-    rows = stored(places(docs).withColumn("_file", F.xxhash64("_places")))
+def _checked(templates: Templates) -> None:
+    for label, text, key in templates:
+        if not key.split() or f" {key} " not in f" {text} ":
+            raise ValueError(f"the key phrase of {label!r} is no part of its passage: {key!r}")
+
+
+def scan(docs: DataFrame, templates: Templates = TEMPLATES, phrases: Mapping[str, str] = PHRASES) -> DataFrame:
+    _checked(templates)
+    rows = stored(places(docs, vocabulary(templates, phrases)).withColumn("_file", F.xxhash64("_places")))
     # Files with the same places have the same candidates: they are looked up once.
     files = rows.where(F.size("_places") > 0).groupBy("_file").agg(F.first("_places").alias("_places"))
     frequencies = stored(
         rows.select(F.explode(F.array_distinct("_places.w")).alias("w")).groupBy("w").agg(F.count("*").alias("df"))
     )
     # One row per vocabulary word, and one number.
-    postings = stored(index(frequencies, rows.count()))
-    method = verified(candidates(files, postings), files)
+    postings = stored(index(frequencies, rows.count(), templates=templates))
+    method = verified(candidates(files, postings), files, templates=templates)
 
-    starts = {phrase: f"_at{k}" for k, phrase in enumerate(PHRASES)}
+    starts = {phrase: f"_at{k}" for k, phrase in enumerate(phrases)}
     out = rows
     for phrase, name in starts.items():
         out = out.withColumn(name, _starts(phrase))
     every = F.concat(*starts.values())
-    base = F.array_compact(F.array(*[F.when(F.size(name) > 0, F.lit(PHRASES[p])) for p, name in starts.items()]))
+    base = F.array_compact(F.array(*[F.when(F.size(name) > 0, F.lit(phrases[p])) for p, name in starts.items()]))
     both = F.array_union(base, F.coalesce("_added", F.array().cast("array<string>")))
     return out.join(method, "_file", "left").select(
         "doc_id",
