@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 from tests.llm.corpus import multiset
 from vecindad.llm import pages
@@ -49,6 +50,7 @@ def test_shared_lines_of_neighbours_go(spark):
         for k in range(30)
     ]
     some += [(100, "http://h.org/a/article", page(0, f"<article>{frame}<p>Kept.</p></article>"))]
+    some += [(400 + k, f"http://two.org/{k}", page(k, f"<article><p>An end of both.</p><p>Story {k}.</p></article>")) for k in range(2)]
     some += [(200, None, "<p>alone</p>"), (201, "nonsense", None), (202, "http://z.org/", ""), (None, None, None)]
     some += [(300, "http://copy.org/1", page(1, "<p>Same text.</p>")), (301, "http://copy.org/2", page(1, "<p>Same text.</p>"))]
     some += [some[0]]
@@ -57,6 +59,7 @@ def test_shared_lines_of_neighbours_go(spark):
     text = {r.page_id: r.text for r in got}
     assert all(text[k] == f"Story {k} has its own long and quite different words {k * 7}." for k in range(30))
     assert text[100] == "Welcome to our site\nCall us today\nKept."
+    assert all(text[400 + k] == f"An end of both.\nStory {k}." for k in range(2))
     assert (text[200], text[201], text[202], text[None], text[300]) == ("alone", "", "", "", "Same text.")
     assert multiset(r.n_chars for r in got) == multiset(len(r.text) for r in got)
 
@@ -104,3 +107,39 @@ def test_short_articles_in_a_large_frame(spark):
     whole = "\n".join(f"Part {n} of a long article." for n in range(6))
     assert all(text[200 + k] == f"{whole}\nVersion {k}." for k in range(2))
     assert all(text[210 + k] == f"Another story {k}, with words of its own." for k in range(40))
+
+
+def texts(html):
+    return [t for t, _ in pages.blocks(html)]
+
+
+def test_end_tags_left_out():
+    assert texts('<article><p class="share">Share this<p>Real text one<p>Real text two</article>') == ["Real text one", "Real text two"]
+    assert texts('<ul><li class="ad">Ad<li>Item <b>one<li>Item two</ul><p>End') == ["Item one", "Item two", "End"]
+    assert texts('<ul><li>A<ul><li class="ad">B</ul>C<li>D</ul>') == ["A", "C", "D"]
+    assert texts('<dl><dt class="menu">no<dd>yes<dt>t<dd class="promo">no</dl>z') == ["yes", "t", "z"]
+    assert texts('<table><tr><td class="ad">no<td>yes<tr class="ad"><td>no<tr><td><p>in</p></div>cell</table>z') == ["yes", "in", "cell", "z"]
+    assert texts('<p class="ad">no<div>yes</div><p class="ad">no <b>no</b><h2>yes</h2>') == ["yes", "yes"]
+    assert texts('<div class="ad">no<p>no<p>no</div>yes') == ["yes"]
+    assert texts('<span><div class="ad">no</span> no</div>yes') == ["yes"]
+    assert texts('<p class="ad"><button><p>no</button>no<p>yes') == ["yes"]
+
+
+def test_article_by_share_of_text():
+    story = "A long story in a plain element, with many more words than the teaser beside it."
+    assert texts(f"<div>{story}</div><article>Teaser</article>") == [story, "Teaser"]
+    assert texts(f"<div>Line</div><article>{story}</article>") == [story]
+    assert texts(f'<article><div class="article-header"><h1>Title</h1></div><p class="job-search">{story}</p></article>') == ["Title", story]
+    assert texts(f'<div class="site-header">no</div><div role="search">no</div><div class="job-search">{story}</div>') == [story]
+
+
+def test_long_unclosed_pages_take_linear_time():
+    def seconds(n):
+        html = "<p><b><i>word" * n + "<a <a" * n + "<ul>" + "<li><span>x" * n + "<" * n
+        start = time.perf_counter()
+        found = pages.blocks(html)
+        assert len(found) >= n
+        return time.perf_counter() - start
+
+    seconds(100)
+    assert seconds(20000) < 40 * max(seconds(2000), 0.02)

@@ -7,14 +7,19 @@
    pairs over a partition's end are made from the first and last row of each.
 2. Each page is cut into blocks of text.  Menus, headers, footers, sidebars, notices,
    adverts, forms, scripts, styles and reader comments are left out where the markup
-   names them (element, class, id or role).
-   Of a page with an article or main element only the blocks inside are its lines.
+   names them (element, class, id or role); inside an article or main element a name
+   for a header, banner or search leaves nothing out, as it may be the title's.  End tags
+   may be left out as in HTML: an open p, li, dt, dd, option or part of a table ends where
+   the next one begins.
+   Where article and main elements hold at least half of a page's text, the blocks inside
+   are its lines; else (a teaser beside the story) all blocks are.
 3. The lines of paired pages are aligned by a longest common subsequence, and shared
    lines are deleted.  A line inside an article or main element is shared only if the
-   neighbour has it inside one too.  If that is more than half of the page's text, it may
-   be an article of which there is another version, or a frame longer than the article:
-   only the lines that a second page of the host, chosen by the hash of its lines, shares
-   too are deleted.  A host of two different pages has no such page; they keep the text.
+   neighbour has it inside one too, and needs a second witness: it is deleted if a second
+   page of the host, chosen by the hash of its lines, shares it too.  So are the others if
+   they are more than half of the page's text: it may be an article of which there is
+   another version, or a frame longer than the article.  A host of two different pages has
+   no second witness; they keep the text.
 
 Defined results: a null html is an empty page with an empty text; a null url or one
 without a host is not paired; repeated rows give the same text each (a page is never
@@ -48,17 +53,48 @@ DROPPED = frozenset(
 )
 MAIN = frozenset(("article", "main"))
 FRAME = frozenset(("html", "body", "article", "main"))
+# Elements that a start tag ends if they are open, and those that it does not look beyond.
+_CELLS = ("td", "th")
+_TABLE = ("table", "template")
+_LISTS = ("ul", "ol", "menu", "table", "td", "th", "template")
+_ENDED = {
+    "li": (("li",), _LISTS),
+    "dt": (("dt", "dd"), ("dl", *_LISTS)),
+    "dd": (("dt", "dd"), ("dl", *_LISTS)),
+    "option": (("option",), ("select", "datalist")),
+    "optgroup": (("option", "optgroup"), ("select", "datalist")),
+    "td": (_CELLS, ("tr", *_TABLE)),
+    "th": (_CELLS, ("tr", *_TABLE)),
+    "tr": (("tr", *_CELLS), _TABLE),
+    **{t: (("thead", "tbody", "tfoot", "tr", *_CELLS, "caption"), _TABLE) for t in ("thead", "tbody", "tfoot")},
+}
+# Start tags that end an open p, unless one of the others is open inside it.
+_ENDS_P = frozenset(
+    "address article aside blockquote center details dialog dir div dl dd dt fieldset figcaption figure footer form "
+    "h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre search section summary table ul".split()
+)
+_AROUND_P = ("button", "caption", "object", "table", "td", "th", "template")
+# End tags of other elements do not reach over these.
+_AROUND = ("caption", "object", "table", "td", "th", "template")
+_OF_TABLE = frozenset(("html", "body", "thead", "tbody", "tfoot", "tr", *_AROUND))
+#: Share of a page's text that its article and main elements must hold.
+SHARE = 0.5
 #: The least page of each of so many parts of a host is looked at for the second page.
 PARTS = 1024
 # Names of such parts in a class, id or role, as a word of their own.
+_EVERYWHERE = (
+    r"ads?|advert\w*|breadcrumbs?|comments?|commentlist|complementary|contentinfo|consent|"
+    r"cookies?|disclaimer|disqus|footer|gdpr|login|menu|modal|nav|navbar|navigation|newsletter|"
+    r"notice|notification|pagination|popup|promo\w*|related|replies|reply|share|sharing|sidebar|signup|"
+    r"social|sponsor\w*|subscribe|toolbar|widgets?"
+)
+_NAMED_INSIDE = re.compile(rf"(?:^|[\s_-])(?:{_EVERYWHERE})(?:$|[\s_-])", re.IGNORECASE)
 _NAMED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|commentlist|complementary|contentinfo|consent|"
-    r"cookies?|disclaimer|disqus|footer|gdpr|header|login|masthead|menu|modal|nav|navbar|navigation|newsletter|"
-    r"notice|notification|pagination|popup|promo\w*|related|replies|reply|search|share|sharing|sidebar|signup|"
-    r"social|sponsor\w*|subscribe|toolbar|widgets?)(?:$|[\s_-])",
+    rf"(?:^|[\s_-])(?:{_EVERYWHERE}|banner|header|masthead)(?:$|[\s_-])|"
+    r"(?:^|\s)(?:site[_-]?)?search(?:[_-]?(?:bar|box|field|form))?(?:$|\s)",
     re.IGNORECASE,
 )
-_OPEN_END = re.compile(r"<[/!?a-zA-Z][^>]*\Z")
+_TAG = re.compile(r"<[/!?a-zA-Z]")
 _SPACE = re.compile(r"\s+")
 
 
@@ -69,6 +105,9 @@ class _Blocks(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.blocks: list[tuple[str, bool]] = []
         self._open: list[str] = []
+        #: Depths of the open elements of each name, and of those that end a block; the last is the innermost.
+        self._at: dict[str, list[int]] = {}
+        self._block: list[int] = []
         self._main = 0
         #: Depth of the outermost open element that is left out; 0 if none is.
         self._out = 0
@@ -85,9 +124,16 @@ class _Blocks(HTMLParser):
             self._text.append(" ")
         elif tag not in INLINE:
             self.flush()
+        if tag in _ENDS_P:
+            self._end(("p",), _AROUND_P)
+        if tag in _ENDED:
+            self._end(*_ENDED[tag])
         if tag in VOID:
             return
         self._open.append(tag)
+        self._at.setdefault(tag, []).append(len(self._open))
+        if tag not in INLINE:
+            self._block.append(len(self._open))
         if not self._out and self._left_out(tag, attrs):
             self._out = len(self._open)
         if tag in MAIN:
@@ -98,8 +144,9 @@ class _Blocks(HTMLParser):
             return True
         if tag in FRAME and tag != "article":
             return False
+        named = _NAMED_INSIDE if self._main else _NAMED
         for name, value in attrs:
-            if name == "hidden" or (name in ("class", "id", "role") and value and _NAMED.search(value)):
+            if name == "hidden" or (name in ("class", "id", "role") and value and named.search(value)):
                 return True
         return False
 
@@ -111,16 +158,39 @@ class _Blocks(HTMLParser):
     def handle_endtag(self, tag):
         if tag not in INLINE:
             self.flush()
-        if tag not in self._open:
+        at = self._depth(tag)
+        if not at:
             return
-        while self._open:
+        if tag in INLINE:  # does not end a block that is open inside it
+            if not self._block or self._block[-1] < at:
+                self._close(at)
+        elif tag in _OF_TABLE or at > max(map(self._depth, _AROUND)):
+            self._close(at)
+
+    def _depth(self, tag: str) -> int:
+        """Of the innermost open element of this name; 0 if none is."""
+        found = self._at.get(tag)
+        return found[-1] if found else 0
+
+    def _end(self, tags: tuple[str, ...], beyond: tuple[str, ...]) -> None:
+        """Closes the outermost of the open ``tags`` that lies inside each of ``beyond``."""
+        edge = max(map(self._depth, beyond))
+        inside = [at for tag in tags for at in self._at.get(tag, ())[-1:] if at > edge]
+        if inside:
+            self.flush()
+            self._close(min(inside))
+
+    def _close(self, at: int) -> None:
+        """Closes open elements up to the one of this depth; each is closed once, so parsing is linear."""
+        while len(self._open) >= at:
             last = self._open.pop()
+            self._at[last].pop()
+            if last not in INLINE:
+                self._block.pop()
             if last in MAIN:
                 self._main -= 1
             if self._out > len(self._open):
                 self._out = 0
-            if last == tag:
-                break
 
     def handle_data(self, data):
         if not self._out:
@@ -130,11 +200,13 @@ class _Blocks(HTMLParser):
 def blocks(html: str) -> list[tuple[str, bool]]:
     parser = _Blocks()
     # What a cut page ends with may be half a tag, which is no text.
-    parser.feed(_OPEN_END.sub("", html))
+    half = _TAG.search(html, html.rfind(">") + 1)
+    parser.feed(html[: half.start()] if half else html)
     parser.close()
     parser.flush()
     inside = [b for b in parser.blocks if b[1]]
-    return inside or parser.blocks
+    enough = sum(len(t) for t, _ in inside) >= SHARE * sum(len(t) for t, _ in parser.blocks)
+    return inside if inside and enough else parser.blocks
 
 
 def shared_lines(one: list[int], two: list[int]) -> list[int]:
@@ -169,12 +241,16 @@ def shared_lines(one: list[int], two: list[int]) -> list[int]:
     return found
 
 
-def main_text(texts: list[str], lines: list[int], other: list[int] | None, second: list[int] | None) -> str:
-    """The page's text without the lines of the frame that it shares with its neighbour."""
+def main_text(
+    texts: list[str], inside: list[bool], lines: list[int], other: list[int] | None, second: list[int] | None
+) -> str:
+    """The page's text without the lines of the frame that it shares with its neighbour (and a second page)."""
     if other:
         gone = set(shared_lines(lines, other))
-        if 2 * sum(len(texts[k]) for k in gone) > sum(map(len, texts)):
-            gone &= set(shared_lines(lines, second)) if second else set()
+        most = 2 * sum(len(texts[k]) for k in gone) > sum(map(len, texts))
+        if most or any(inside[k] for k in gone):
+            twice = set(shared_lines(lines, second)) if second else set()
+            gone = {k for k in gone if k in twice or not (most or inside[k])}
         texts = [t for k, t in enumerate(texts) if k not in gone]
     return "\n".join(texts)
 
@@ -303,7 +379,7 @@ def extract(pages: DataFrame) -> DataFrame:
 
     return (
         parsed.join(paired, "_key", "left")
-        .select("page_id", "url", "texts", _line_hash().alias("_lines"), "_other", "_second")
+        .select("page_id", "url", "texts", "inside", _line_hash().alias("_lines"), "_other", "_second")
         .mapInArrow(difference, "page_id long, url string, text string")
         .withColumn("n_chars", F.length("text").cast("long"))
     )
