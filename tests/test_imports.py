@@ -3,6 +3,7 @@ from decimal import Decimal as D
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 from tests.ledger import ACCOUNT, BUILDINGS, UNITS, day, ledger, rows_of
 
 from vecindad.operators.changes import insert_if_missing, one_row_per_key, update_from_join
@@ -185,6 +186,83 @@ def test_store_payments_can_be_repeated(spark, tmp_path):
     assert row.copias == 3
 
 
+def test_files_are_read_once_a_batch(spark, tmp_path):
+    root = str(tmp_path / "store")
+    append(ledger(spark)["Unidad_Funcional"], f"{root}/Unidad_Funcional")
+    for mode in ("reference", "strict"):
+        seen = spark.sparkContext.accumulator(0)
+
+        @F.udf("string")
+        def touched(value, seen=seen):
+            seen.add(1)
+            return value
+
+        staged = payments(spark, tmp_path, name=f"{mode}.csv")
+        staged = staged.withColumn("Valor", touched.asNondeterministic()("Valor"))
+        lines = staged.count()
+        seen.value = 0
+        imports.store_payments(spark, root, staged, mode, mode=mode)
+        assert seen.value == lines
+        assert read_stored(spark, root, "Pago").where(F.col("lote") == mode).count() == 4
+    assert not list((tmp_path / "store" / "_lotes").glob("*"))
+
+
+def test_detail_lies_by_month(spark, tmp_path):
+    root, batch = str(tmp_path / "store"), "a b:c%d"
+    append(ledger(spark)["Unidad_Funcional"], f"{root}/Unidad_Funcional")
+
+    def put(name, batch, *days):
+        lines = "\n".join(f"{k},{x},{ACCOUNT[11]},$ {k}" for k, x in enumerate(days, 1))
+        path = write(tmp_path / name, f"IdPago,f,c,v\n{lines}\n")
+        imports.store_payment_files(spark, root, path, batch, mode="strict")
+
+    def stored(months=None):
+        rows = read_stored(spark, root, "Detalle_CSV", months)
+        found = sorted((r.periodo, r.lote, r.fechaPago.isoformat()) for r in rows.collect())
+        return found, rows.inputFiles()
+
+    april, may, june = (2025 * 12 + m for m in (3, 4, 5))
+    put("one.csv", batch, "01/04/2025", "02/05/2025", "03/05/2025", "04/06/2025")
+    put("two.csv", "other", "09/05/2025")
+    first = [(april, batch, "2025-04-01"), (may, batch, "2025-05-02"), (may, batch, "2025-05-03")]
+    other = [(may, "other", "2025-05-09")]
+    assert stored()[0] == sorted([*first, *other, (june, batch, "2025-06-04")])
+    found, read = stored([may])
+    assert found == sorted([*first[1:], *other]) and all(f"periodo={may}/" in f for f in read)
+    # The batch again, without its last month; other batches and months stay.
+    put("one.csv", batch, "01/04/2025", "02/05/2025", "03/05/2025")
+    assert stored()[0] == sorted([*first, *other])
+    assert stored([june])[0] == []
+    # Rows stored by batch alone are read beside them.
+    append(ledger(spark, Detalle_CSV=[("p", 1, 11, ACCOUNT[11], day("2025-01-01"), D(1), 1)])["Detalle_CSV"], f"{root}/Detalle_CSV/lote=old")
+    rows = read_stored(spark, root, "Detalle_CSV", [april])
+    assert rows_of(rows, "fechaPago") == [(day("2025-01-01"),), (day("2025-04-01"),)]
+
+
+def test_numbers_of_repeated_units(spark):
+    """One key with very many rows, equal and different ones: ids are unique and do not depend on partitions."""
+    t = ledger(spark)
+    many = spark.range(200000).select(
+        F.when(F.col("id") % 50 == 0, F.lit("7")).otherwise(F.lit("9")).alias("Piso"),
+        F.lit("Z").alias("Departamento"),
+        F.when(F.col("id") < 90000, F.lit(5)).otherwise(F.col("id") % 9000).cast("string").alias("m2_unidad_funcional"),
+        F.lit(t["Consorcio"].first().nombre).alias("NombreConsorcio"),
+        F.lit("SI").alias("Cochera"),
+        F.lit("NO").alias("Bauleras"),
+        F.lit("1").alias("Coeficiente"),
+    )
+    found = []
+    for parts in (3, 7):
+        units = imports.import_units(many.repartition(parts), t["Consorcio"], t["Unidad_Funcional"])
+        found.append(
+            units.agg(
+                F.count("*"), F.count_distinct("unidadFuncionalID"), F.sum(F.xxhash64("*") % 1000003)
+            ).first()
+        )
+    assert found[0] == found[1]
+    assert found[0][0] == found[0][1] == 200000
+
+
 def test_changes(spark):
     new = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b"), (None, "c")], "k int, v string")
     old = spark.createDataFrame([(1, "x"), (None, "y")], "k int, v string")

@@ -19,8 +19,11 @@ def test_payment_intake(spark, tmp_path):
 
     drop("a.csv", f"1,01/04/2025,{ACCOUNT[11]},$ 10", f"2,01/04/2025,{ACCOUNT[12]},$ 20")
     drop("b.csv", f"3,02/04/2025,{ACCOUNT[11]},$ 30")
-    stream_payments(spark, root, str(landing), **options).awaitTermination(120)
+    query = stream_payments(spark, root, str(landing), **options)
+    query.awaitTermination(120)
     assert counts() == [3, 3, 2]
+    # Rows that the source gave: each line once, whatever the number of tables.
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 3
     drop("c.csv", f"4,03/04/2025,{ACCOUNT[11]},$ 40")
     stream_payments(spark, root, str(landing), **options).awaitTermination(120)
     assert counts() == [4, 4, 3]

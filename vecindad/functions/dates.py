@@ -41,6 +41,11 @@ def month_index(date: Column) -> Column:
     return (F.year(date) * 12 + F.month(date) - 1).cast("int")
 
 
+def month_number(year: int, month: int) -> int:
+    """``month_index`` of a period."""
+    return year * 12 + month - 1
+
+
 def index_year(index: Column) -> Column:
     return F.floor(index / 12).cast("int")
 
@@ -52,7 +57,7 @@ def index_month(index: Column) -> Column:
 def month_indexes(periods: Sequence[tuple[int, int]]) -> Column:
     """Array of the periods' indexes, one sequence for each run of neighbouring months."""
     runs: list[list[int]] = []
-    for index in sorted({year * 12 + month - 1 for year, month in periods}):
+    for index in sorted({month_number(*period) for period in periods}):
         if runs and index == runs[-1][1] + 1:
             runs[-1][1] = index
         else:

@@ -21,11 +21,6 @@ from vecindad.operators.costs import check_mode
 from vecindad.schemas import MONEY, TABLES
 
 
-def clean_lines(staged: DataFrame) -> DataFrame:
-    """Typed payment lines; lines without any amount text are dropped."""
-    return typed_lines(staged.where(F.trim("Valor") != ""))
-
-
 def typed_lines(staged: DataFrame) -> DataFrame:
     """Payment lines with date and amount; NULL where they cannot be read."""
     kept = [c for c in staged.columns if c not in ("Fecha", "CVU_CBU", "Valor")]

@@ -18,6 +18,7 @@ from vecindad.functions.dates import (
     month_bounds,
     month_index,
     month_indexes,
+    month_number,
     previous_period,
     resolve_period,
     session_date,
@@ -434,7 +435,9 @@ def store_period(
     year, month = resolve_period(year, month, run_date or session_date(spark))
 
     def stored(name: str) -> DataFrame:
-        return read_stored(spark, root, name)
+        # Payments count in the month after; only that month's folders are listed.
+        paid = month_number(*previous_period(year, month))
+        return read_stored(spark, root, name, [paid] if name == "Detalle_CSV" else None)
 
     def add(frame: DataFrame, name: str) -> None:
         placed = frame.withColumns({"anio": F.lit(year), "mes": F.lit(month)})
@@ -479,8 +482,10 @@ def store_history(
     a run that was cut short can be started again and adds what is missing.
     """
 
+    paid = range(month_number(*previous_period(*first)), month_number(*last) + 1)
+
     def tables() -> dict[str, DataFrame]:
-        return {name: read_stored(spark, root, name) for name in RUN_TABLES}
+        return {name: read_stored(spark, root, name, paid if name == "Detalle_CSV" else None) for name in RUN_TABLES}
 
     options = {"mode": mode, "policy": policy, "run_date": run_date}
     append(charge_history(tables(), first, last, **options)["Expensas"], f"{root}/Expensas", PERIOD)

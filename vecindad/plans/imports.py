@@ -13,15 +13,17 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vecindad.functions.amounts import decimal_comma
+from vecindad.functions.dates import month_index
 from vecindad.functions.text import comparable, pad_id, surrogate, yes_flag
 from vecindad.operators.changes import insert_if_missing, one_row_per_key, update_from_join
 from vecindad.operators.costs import check_mode
-from vecindad.operators.payments import clean_lines, detail_lines, match_payments, typed_lines
+from vecindad.operators.payments import detail_lines, match_payments, typed_lines
 from vecindad.schemas import DELIVERY, TABLES
+from vecindad.sinks.batches import folder_name, release, replace_batch, stage
 from vecindad.sinks.tables import append
 from vecindad.sinks.versions import add_rows, change_rows, published
 from vecindad.sources.files import LINE, read_buildings, read_payments, read_persons, read_unit_accounts, read_units
@@ -32,12 +34,38 @@ def _table(frame: DataFrame, name: str) -> DataFrame:
     return frame.select(*TABLES[name].fieldNames())
 
 
-def _distinct_ids(frame: DataFrame, name: str, key: list[str]) -> DataFrame:
-    """Ids of rows whose natural key repeats: the first keeps its own, each other gets one of its number."""
-    rest = [F.col(c) for c in TABLES[name].fieldNames() if c != name_of_id(name)]
-    number = F.row_number().over(Window.partitionBy(*key).orderBy(*rest))
+#: Parts of a repeated key that are numbered apart, and equal rows that are spelled out at once.
+KEY_PARTS = 256
+COPIES = 1 << 16
+
+
+def _distinct_ids(frame: DataFrame, name: str) -> DataFrame:
+    """Ids of rows whose id repeats: one of them keeps its own, each other gets one of its number.
+
+    The numbers depend on the rows alone.  Equal rows are counted, so a key with very many
+    copies is one row; a key with very many different rows is numbered in parts by the hash
+    of the rows, each from the sum of the parts before it.
+    """
     column = name_of_id(name)
-    numbered = frame.withColumn("_numero", number)
+    columns = TABLES[name].fieldNames()
+    rest = [c for c in columns if c != column]
+    counted = (
+        frame.groupBy(*columns)
+        .agg(F.count("*").alias("_copias"))
+        .withColumn("_parte", F.pmod(F.xxhash64(*rest), F.lit(KEY_PARTS)))
+    )
+    before = Window.partitionBy(column, "_parte").orderBy(*rest).rowsBetween(Window.unboundedPreceding, -1)
+    inside = counted.withColumn("_antes", F.coalesce(F.sum("_copias").over(before), F.lit(0)))
+    # At most KEY_PARTS rows of a key.
+    parts = counted.groupBy(F.col(column).alias("_id"), F.col("_parte").alias("_de")).agg(F.sum("_copias").alias("_n"))
+    earlier = Window.partitionBy("_id").orderBy("_de").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.withColumn("_desde", F.sum("_n").over(earlier)).where("_desde > 0")
+    same = F.col(column).eqNullSafe(F.col("_id")) & (F.col("_parte") == F.col("_de"))
+    first = F.col("_antes") + F.coalesce("_desde", F.lit(0))
+    placed = inside.join(offsets, same, "left").withColumn("_primero", first)
+    chunks = placed.withColumn("_k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copias") - 1, F.lit(COPIES).cast("long"))))
+    last = F.least(F.col("_k") + COPIES, F.col("_copias")) - 1
+    numbered = chunks.withColumn("_k", F.explode(F.sequence("_k", last))).withColumn("_numero", F.col("_primero") + F.col("_k") + 1)
     other = surrogate(F.col(column), F.col("_numero"))
     return numbered.withColumn(column, F.when(F.col("_numero") > 1, other).otherwise(F.col(column)))
 
@@ -61,7 +89,7 @@ def import_buildings(
         F.col("m2 totales").try_cast("decimal(6,2)").alias("superficieM2Total"),
     ).withColumn("consorcioID", surrogate(comparable(F.col("nombre"))))
     if mode == "reference":
-        return _table(_distinct_ids(rows, "Consorcio", ["consorcioID"]), "Consorcio")
+        return _table(_distinct_ids(rows, "Consorcio"), "Consorcio")
     rows = _table(rows, "Consorcio")
     if mode == "strict":
         rows = one_row_per_key(rows, ["consorcioID"])
@@ -121,7 +149,7 @@ def import_units(
     if mode == "strict":
         new = one_row_per_key(new, ["consorcioID", "_piso", "_depto"])
     else:
-        new = _distinct_ids(new, "Unidad_Funcional", ["unidadFuncionalID"])
+        new = _distinct_ids(new, "Unidad_Funcional")
     return _table(new, "Unidad_Funcional")
 
 
@@ -281,22 +309,35 @@ def import_payments(
     lines read from a file that end before their amount.
     """
     check_mode(mode)
-    fresh = not_yet_imported(staged, registry).withColumn("importacionID", import_id())
-    cleaned = clean_lines(fresh)
-    lines = cleaned.where(F.col("Valor").isNotNull())
-    rejected = cleaned.where(F.col("Valor").isNull() | F.col("Fecha").isNull())
-    if LINE in fresh.columns:
-        cut = fresh.where(F.coalesce(F.trim("Valor"), F.lit("")) == "")
-        rejected = rejected.unionByName(typed_lines(cut))
-    matched = match_payments(lines, units)
+    lines = new_lines(staged, registry)
+    matched = match_payments(lines.where(_readable()), units)
     return {
         "Pago": _table(matched, "Pago"),
-        "Detalle_CSV": detail_lines(lines, matched, stored, mode),
-        "CSV_Importado": registry_rows(fresh, file_date),
-        "rechazados": rejected,
+        "Detalle_CSV": detail_lines(lines.where(_readable()), matched, stored, mode),
+        "CSV_Importado": registry_rows(lines, file_date),
+        "rechazados": rejected_lines(lines),
     }
 
 
+def new_lines(staged: DataFrame, registry: DataFrame) -> DataFrame:
+    """Typed lines of files that are not registered; ``_con_importe`` tells the ones with an amount text."""
+    fresh = not_yet_imported(staged, registry).withColumns(
+        {"importacionID": import_id(), "_con_importe": F.coalesce(F.trim("Valor") != "", F.lit(False))}
+    )
+    return typed_lines(fresh)
+
+
+def _readable() -> Column:
+    return F.col("_con_importe") & F.col("Valor").isNotNull()
+
+
+def rejected_lines(lines: DataFrame) -> DataFrame:
+    """Of ``new_lines``: no readable amount, no readable date, or (read from a file) cut before the amount."""
+    unread = F.col("_con_importe") & (F.col("Valor").isNull() | F.col("Fecha").isNull())
+    cut = ~F.col("_con_importe") if LINE in lines.columns else F.lit(False)
+    return lines.where(unread | cut).drop("_con_importe")
+
+
 def store_payments(
     spark: SparkSession,
     root: str,
@@ -308,29 +349,32 @@ def store_payments(
 ) -> None:
     """Adds staged payment lines to the tables stored under ``root``.
 
-    The rows of one call lie in the partition ``lote=<batch>`` of each table,
-    which is overwritten: a call that was cut short is repeated with the same
-    ``batch`` and leaves no row twice.  Rejected lines are stored first and the registry
-    last, so a file only counts as imported when all of its lines are in some table.
+    The lines are read, parsed and typed once and matched with the units once, into staged
+    folders that all tables are derived from.  The rows of one call lie in the partition ``lote=<batch>`` of each table,
+    detail rows by their month first.  It is overwritten: a call that was cut short is
+    repeated with the same ``batch`` and leaves no row twice.  Rejected lines are stored
+    first and the registry last, so a file only counts as imported when all of its lines
+    are in some table; then the staged lines go.
     """
+    check_mode(mode)
 
     def others(name: str) -> DataFrame:
         stored = read_stored(spark, root, name)
         return stored.where(F.col("lote") != batch).drop("lote")
 
-    results = import_payments(
-        staged,
-        read_stored(spark, root, "Unidad_Funcional"),
-        others("CSV_Importado"),
-        others("Pago"),
-        file_date,
-        mode,
-    )
-    # Sorted inside each file, so that a month is found by row-group statistics.
-    results["Detalle_CSV"] = results["Detalle_CSV"].sortWithinPartitions("fechaPago")
-    _store_rejected(results["rechazados"], root, "Pago", batch)
-    for name in ("Detalle_CSV", "Pago", "CSV_Importado"):
-        results[name].write.mode("overwrite").parquet(f"{root}/{name}/lote={batch}")
+    def put(rows: DataFrame, name: str) -> None:
+        rows.write.mode("overwrite").parquet(f"{root}/{name}/lote={folder_name(batch)}")
+
+    lines = stage(spark, root, batch, "lineas", new_lines(staged, others("CSV_Importado")))
+    good = lines.where(_readable())
+    units = read_stored(spark, root, "Unidad_Funcional")
+    matched = stage(spark, root, batch, "pagos", match_payments(good, units))
+    _store_rejected(rejected_lines(lines), root, "Pago", batch)
+    detail = detail_lines(good, matched, others("Pago"), mode)
+    replace_batch(spark, detail, f"{root}/Detalle_CSV", month_index(F.col("fechaPago")), batch)
+    put(_table(matched, "Pago"), "Pago")
+    put(registry_rows(lines, file_date), "CSV_Importado")
+    release(spark, root, batch)
 
 
 def store_payment_files(
@@ -341,7 +385,7 @@ def store_payment_files(
 
 
 def _store_rejected(rows: DataFrame, root: str, table: str, batch: str) -> None:
-    rows.write.mode("overwrite").parquet(f"{root}/Rechazados/tabla={table}/lote={batch}")
+    rows.write.mode("overwrite").parquet(f"{root}/Rechazados/tabla={table}/lote={folder_name(batch)}")
 
 
 def store_building_file(

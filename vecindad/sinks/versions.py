@@ -34,7 +34,7 @@ class Version(NamedTuple):
     folders: dict[str, list[str]]
 
 
-def _files(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
@@ -44,7 +44,7 @@ def _lists(root: str, name: str) -> str:
 
 
 def _numbers(spark: SparkSession, root: str, name: str) -> list[int]:
-    files, folder = _files(spark, _lists(root, name))
+    files, folder = file_system(spark, _lists(root, name))
     if not files.exists(folder):
         return []
     names = [status.getPath().getName() for status in files.listStatus(folder)]
@@ -54,7 +54,7 @@ def _numbers(spark: SparkSession, root: str, name: str) -> list[int]:
 def published(spark: SparkSession, root: str, name: str) -> Version | None:
     """The last version whose list is whole; None for a table that was never changed."""
     for number in reversed(_numbers(spark, root, name)):
-        files, file = _files(spark, f"{_lists(root, name)}/{number:08d}")
+        files, file = file_system(spark, f"{_lists(root, name)}/{number:08d}")
         stream = files.open(file)
         text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         stream.close()
@@ -65,7 +65,7 @@ def published(spark: SparkSession, root: str, name: str) -> Version | None:
 
 def publish(spark: SparkSession, root: str, name: str, number: int, folders: dict[str, list[str]]) -> None:
     """Makes ``folders`` the table; fails if the number has been taken."""
-    files, file = _files(spark, f"{_lists(root, name)}/{number:08d}")
+    files, file = file_system(spark, f"{_lists(root, name)}/{number:08d}")
     stream = files.create(file, False)
     stream.write(bytearray((json.dumps(folders) + _END).encode()))
     stream.close()
@@ -105,7 +105,7 @@ def add_rows(spark: SparkSession, root: str, name: str, rows: DataFrame) -> None
 
 def _held(spark: SparkSession, root: str, folder: str) -> list[int]:
     """The buckets of a staged folder, from its names."""
-    files, where = _files(spark, f"{root}/{folder}")
+    files, where = file_system(spark, f"{root}/{folder}")
     names = [status.getPath().getName() for status in files.listStatus(where)]
     return sorted(int(n.partition("=")[2]) for n in names if n.startswith(f"{_BUCKET}="))
 
