@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecindad.llm.tables import read, stored
+from vecindad.llm.tables import own_names, read, stored
 from vecindad.llm.words import alphanumeric, byte_codes, slices, words
 
 WINDOW = 10
@@ -293,6 +293,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     )
 
 
+@own_names
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` without the merged spans: from a span's first word to its last, both included."""
     at = docs.columns.index("text")

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecindad.llm.components import components
-from vecindad.llm.tables import read, row_key, stored
+from vecindad.llm.tables import own_names, read, row_key, stored
 from vecindad.llm.words import byte_codes, mixed, slices, spaced, windows, words
 
 SHINGLE = 4
@@ -340,6 +340,7 @@ def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> D
     )
 
 
+@own_names
 def representatives(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row of each component: the least id, then the least hash of its text.
 

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecindad.llm.tables import read, row_key, stored
+from vecindad.llm.tables import own_names, read, row_key, stored
 from vecindad.llm.words import Words, byte_codes, mixed, slices, spaced, windows, words
 
 WINDOW = 35
@@ -308,6 +308,7 @@ def repeated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     return _removal(chosen, window, make, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
+@own_names
 def clean(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` without the repeated words and the white space after each of them."""
     columns = docs.columns

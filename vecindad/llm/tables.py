@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +29,21 @@ def stored(frame: DataFrame) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def own_names(step: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """For a step that gives back the columns of ``docs``: those that begin with an underscore,
+    as the names that steps use inside do, have other names while it runs."""
+
+    @functools.wraps(step)
+    def run(docs: DataFrame, *args, **options) -> DataFrame:
+        apart = {c: f"caller {k} {c}" for k, c in enumerate(docs.columns) if c.startswith("_")}
+        if not apart:
+            return step(docs, *args, **options)
+        back = {other: c for c, other in apart.items()}
+        return step(docs.withColumnsRenamed(apart), *args, **options).withColumnsRenamed(back)
+
+    return run
+
+
 def fold(key: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id counts as an empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit(""))) % folds

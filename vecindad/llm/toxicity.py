@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecindad.llm.tables import fold, read
+from vecindad.llm.tables import fold, own_names, read
 from vecindad.llm.words import alphanumeric, byte_codes, mixed, powers, slices, words
 
 #: Labelled rows of each label that are fitted, at most.
@@ -224,7 +224,11 @@ SCORED = "score double, sentences array<string>"
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with score, and the sentences that score ``threshold`` or more by themselves."""
+    """``docs`` with ``_score``, and in ``_sentences`` those that score ``threshold`` or more by themselves.
+
+    Columns of the input with these two names are left out; ``clean`` keeps them.
+    """
+    docs = docs.drop("_score", "_sentences")
     shared = docs.sparkSession.sparkContext.broadcast((model, _table(model.feature)))
     place = docs.columns.index("text")
 
@@ -263,6 +267,12 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     )
 
 
+@own_names
+def clean(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` without the rows that the model rejects."""
+    return score(docs, model).where(~rejected(F.col("_score"))).select(*docs.columns)
+
+
 def rejected(score: Column) -> Column:
     return score >= THRESHOLD
 
