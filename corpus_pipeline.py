@@ -54,7 +54,7 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # Also while the result is written, which is after this returns.
     _small_batches(spark)
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where(~toxicity.rejected(F.col("_score"))).select(*docs.columns)
+    return toxicity.clean(docs, model)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
