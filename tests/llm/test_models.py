@@ -11,6 +11,7 @@ import pytest
 
 from tests.llm.corpus import LOWER, SPACED, documents, empty, fold, multiset, rows
 from vecindad.llm import class_ngrams, rule_ensemble, toxicity
+from vecindad.llm.words import byte_codes, spaced, words
 
 LABELS = "doc_id long, quality int, toxic int, text string"
 
@@ -82,20 +83,110 @@ def test_rules_of_a_printed_tree():
 
 def base_scores(some):
     split = [SPACED.findall((r[1] or "").translate(LOWER)) + ["\n"] for r in some]
-    count = Counter(w for r, words in zip(some, split, strict=True) if fold(r[0], 7) != 2 for w in words)
+    count = Counter(w for r, own in zip(some, split, strict=True) if fold(r[0], 7) != 2 for w in own)
     total, types = sum(count.values()), len(count)
-    for r, words in zip(some, split, strict=True):
-        score = sum(math.log10((count[w] + 1) / (total + types + 1)) for w in words)
-        yield r[0], fold(r[0], 7) == 2, len(words), sum(count[w] > 0 for w in words), total, round(score, 6)
-
-
-@pytest.mark.parametrize("common", [1e-6, 2e-3])
+    for r, own in zip(some, split, strict=True):
+        score = sum(math.log10((count[w] + 1) / (total + types + 1)) for w in own)
+        yield r[0], fold(r[0], 7) == 2, len(own), sum(count[w] > 0 for w in own), total, round(score, 6)
+
+
+def coded(text) -> list[int]:
+    """The hashes that the operator knows the words of a text by, and the end."""
+    raw = np.frombuffer((text or "").encode(), np.uint8)
+    w = words(raw, np.array([0, len(raw)]), spaced(), byte_codes(True))
+    return [int(c) for c in w.code.view(np.int64)] + [int(class_ngrams.END.view(np.int64))]
+
+
+def class_scores(some, kind, other, k):
+    """Scores of the formula in plain Python, from the class of each word; unseen words have their bucket's."""
+    split = [coded(r[1]) for r in some]
+    held = [fold(r[0], 7) == 2 for r in some]
+    count = Counter(w for h, s in zip(held, split, strict=True) if not h for w in s)
+    end = split[0][-1]
+
+    def classes(s):
+        return [kind[w] if w in kind else other[w] for w in [end, *s]]
+
+    pairs, tokens, types = Counter(), Counter(), Counter(kind[w] for w in count)
+    for h, s in zip(held, split, strict=True):
+        if not h:
+            c = classes(s)
+            pairs.update(zip(c, c[1:]))
+            tokens.update(c[1:])
+    follow = Counter()
+    for (a, _), n in pairs.items():
+        follow[a] += n
+    for s in split:
+        c = classes(s)
+        yield sum(
+            math.log10((pairs[a, b] + class_ngrams.SMOOTHING) / (follow[a] + class_ngrams.SMOOTHING * k))
+            + math.log10((count[w] + 1) / (tokens[b] + types[b] + 1))
+            for w, a, b in zip(s, c, c[1:])
+        )
+
+
+@pytest.mark.parametrize("common", [1e-6, 2e-3, 0.5])
 def test_class_ngrams(spark, monkeypatch, common):
+    """Base and class scores equal plain Python's, wherever a word is looked up."""
     monkeypatch.setattr(class_ngrams, "COMMON_SHARE", common)
-    monkeypatch.setattr(class_ngrams, "UNIT_SHARE", 2e-3)
+    monkeypatch.setattr(class_ngrams, "CORE_SHARE", 4e-3)
+    fitted = []
+    fit = class_ngrams.fit
+    monkeypatch.setattr(class_ngrams, "fit", lambda *a: fitted.append(fit(*a)) or fitted[0])
+    some = rows()
     got = class_ngrams.scored(documents(spark), classes=6, rounds=2).collect()
-    assert multiset((*tuple(r)[:5], round(r.base_score, 6)) for r in got) == multiset(base_scores(rows()))
-    assert all(math.isfinite(r.score) and r.score < 0 for r in got)
+    assert multiset((*tuple(r)[:5], round(r.base_score, 6)) for r in got) == multiset(base_scores(some))
+    model, kinds = fitted[0]
+    kind = {r.word: r.kind for r in kinds.collect()}
+    other = {}
+    for r in some:
+        raw = np.frombuffer((r[1] or "").encode(), np.uint8)
+        w = words(raw, np.array([0, len(raw)]), spaced(), byte_codes(True))
+        code, bucket, _ = class_ngrams._sequence(w, raw)
+        other |= zip((int(c) for c in code.view(np.int64)), (int(c) for c in model.bucket_kind[bucket]), strict=True)
+    want = class_scores(some, kind, other, 6)
+    assert multiset((r.doc_id, round(r.score, 6)) for r in got) == multiset(
+        (r[0], round(s, 6)) for r, s in zip(some, want, strict=True)
+    )
+    # Rare words have their bucket's class, others a class of their own choice.
+    split = [coded(r[1]) for r in some if fold(r[0], 7) != 2]
+    count = Counter(w for s in split for w in s)
+    assert set(kind) == set(count)
+    assert all(kind[w] == other[w] for w in count if count[w] < class_ngrams.OWN)
+    assert any(kind[w] != other[w] for w in count if count[w] >= class_ngrams.OWN)
+
+
+def test_words_are_placed_where_the_likelihood_grows_most():
+    rng = np.random.default_rng(3)
+    k = 5
+    matrix = rng.integers(20, 200, (k, k)).astype(float)
+    f = class_ngrams._xlogx
+    slots, n, first, own, want = [], [], [0], [], []
+    for _ in range(30):
+        some = np.sort(rng.choice(2 * k, rng.integers(2, 7), replace=False))
+        times = rng.integers(1, 9, len(some))
+        context = np.zeros(2 * k)
+        context[some] = times
+        left, right = context[:k], context[k:]
+        home = int(rng.integers(k))
+        # Cells and sums that hold the word, with it and without it.
+        gains = []
+        for j in range(k):
+            value = 0.0
+            for column, more in ((matrix[:, j], left), (matrix[j], right)):
+                out = np.maximum(column - more, 0) if j == home else column
+                value += (f(out + more) - f(out))[more > 0].sum()
+            for sums in (matrix.sum(0), matrix.sum(1)):
+                out = sums[j] - left.sum() if j == home else sums[j]
+                value -= float(f(out + left.sum()) - f(out))
+            gains.append(value)
+        want.append(int(np.argmax(gains)))
+        slots += list(some)
+        n += list(times)
+        first.append(len(slots))
+        own.append(home)
+    got = class_ngrams.place_words(np.array(slots), np.array(n), np.array(first), np.array(own), matrix)
+    assert list(got) == want and len(set(want)) > 1
 
 
 def test_exchange_finds_classes():
