@@ -48,7 +48,7 @@ CLASSES = 64
 BUCKETS = 2048
 #: Occurrences from which a word has a class of its own choice.
 OWN = 3
-CORE_SHARE = 1e-4
+CORE_SHARE = 1e-5
 COMMON_SHARE = 1e-6
 #: Rounds of exchange at most, and the rise of the likelihood (a share of it) that ends them.
 ROUNDS = 24
