@@ -24,6 +24,7 @@ from vecindad.operators.costs import check_mode
 from vecindad.operators.payments import detail_lines, match_payments, typed_lines
 from vecindad.schemas import DELIVERY, TABLES
 from vecindad.sinks.batches import folder_name, release, replace_batch, stage
+from vecindad.sinks.claims import STALE, check_claim, claim, release_claim
 from vecindad.sinks.tables import append
 from vecindad.sinks.versions import add_rows, change_rows, published
 from vecindad.sources.files import LINE, read_buildings, read_payments, read_persons, read_unit_accounts, read_units
@@ -321,10 +322,13 @@ def import_payments(
 
 def new_lines(staged: DataFrame, registry: DataFrame) -> DataFrame:
     """Typed lines of files that are not registered; ``_con_importe`` tells the ones with an amount text."""
-    fresh = not_yet_imported(staged, registry).withColumns(
-        {"importacionID": import_id(), "_con_importe": F.coalesce(F.trim("Valor") != "", F.lit(False))}
+    return _typed(not_yet_imported(staged, registry))
+
+
+def _typed(staged: DataFrame) -> DataFrame:
+    return typed_lines(
+        staged.withColumns({"importacionID": import_id(), "_con_importe": F.coalesce(F.trim("Valor") != "", F.lit(False))})
     )
-    return typed_lines(fresh)
 
 
 def _readable() -> Column:
@@ -346,6 +350,7 @@ def store_payments(
     *,
     file_date: dt.date | None = None,
     mode: str = "reference",
+    stale_claim: float = STALE,
 ) -> None:
     """Adds staged payment lines to the tables stored under ``root``.
 
@@ -355,6 +360,10 @@ def store_payments(
     repeated with the same ``batch`` and leaves no row twice.  Rejected lines are stored
     first and the registry last, so a file only counts as imported when all of its lines
     are in some table; then the staged lines go.
+
+    The files are claimed before they are looked up in the registry, so of two imports at the
+    same time one stores a file and the other fails (see ``sinks.claims``); a batch that was
+    cut short keeps its claim, for itself to be repeated, until ``stale_claim`` seconds are over.
     """
     check_mode(mode)
 
@@ -365,7 +374,11 @@ def store_payments(
     def put(rows: DataFrame, name: str) -> None:
         rows.write.mode("overwrite").parquet(f"{root}/{name}/lote={folder_name(batch)}")
 
-    lines = stage(spark, root, batch, "lineas", new_lines(staged, others("CSV_Importado")))
+    lines = stage(spark, root, batch, "lineas", _typed(staged))
+    # One row for each file of the batch.
+    names = lines.select(comparable(F.col("nombreArchivo")).alias("n")).where("n is not null").distinct().toLocalIterator()
+    held = claim(spark, root, [r.n for r in names], batch, stale_claim)
+    lines = not_yet_imported(lines, others("CSV_Importado"))
     good = lines.where(_readable())
     units = read_stored(spark, root, "Unidad_Funcional")
     matched = stage(spark, root, batch, "pagos", match_payments(good, units))
@@ -373,7 +386,9 @@ def store_payments(
     detail = detail_lines(good, matched, others("Pago"), mode)
     replace_batch(spark, detail, f"{root}/Detalle_CSV", month_index(F.col("fechaPago")), batch)
     put(_table(matched, "Pago"), "Pago")
+    check_claim(spark, root, held)
     put(registry_rows(lines, file_date), "CSV_Importado")
+    release_claim(spark, root, held)
     release(spark, root, batch)
 
 
