@@ -196,6 +196,31 @@ def test_folded_history_has_no_python_and_one_shuffle_by_unit(spark):
     assert text.count("REPARTITION_BY_COL") == 1
 
 
+def test_months_of_a_building_are_joined_after_the_shuffle_by_unit(spark):
+    """No row per unit and month is shuffled; a unit whose rows name two buildings has the months of both."""
+    from vecindad.operators.history import account_history
+    from vecindad.operators.payments import collected, paid_by_account, paid_by_unit
+
+    documents = spark.createDataFrame(
+        [(1, 24300, 71, D("100.00")), (1, 24301, 72, D("100.00")), (2, 24301, 81, D("1000.00")), (2, 24302, 82, D("1000.00"))],
+        "consorcioID long, periodo int, documentoID long, expOrdinarias decimal(18,2)",
+    ).selectExpr("*", "cast(0 as decimal(18,2)) as expExtraordinarias")
+    units = spark.createDataFrame(
+        [(1, 1, D("10.00")), (1, 2, D("20.00")), (2, 1, D("50.00")), (2, 1, D("40.00")), (3, None, D("1.00")), (None, 2, D("5.00"))],
+        "unidadFuncionalID long, consorcioID long, coeficiente decimal(4,2)",
+    ).selectExpr("*", "cast(null as string) as CBU_CVU")
+    lines = collected(ledger(spark)["Detalle_CSV"]).where("false")
+    rows = account_history(units, documents, paid_by_account(lines), paid_by_unit(lines))
+    found = {(r.unidadFuncionalID, r.mes): (r.consorcioID, r.documentoID, r.expensasOrdinarias) for r in rows.collect()}
+    assert found == {
+        (1, 1): (1, 71, D("10.00")), (1, 2): (2, 81, D("200.00")), (1, 3): (2, 82, D("200.00")),
+        (2, 1): (1, 71, D("50.00")), (2, 2): (1, 72, D("50.00")),
+        (None, 2): (2, 81, D("50.00")), (None, 3): (2, 82, D("50.00")),
+    }
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join LeftOuter") < plan.index("RepartitionByExpression")
+
+
 def test_fold_goes_over_blocks(spark):
     """Forty months in blocks of twelve: each result is the one before and the month's own."""
     from pyspark.sql import functions as F

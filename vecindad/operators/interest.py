@@ -13,6 +13,8 @@ The same expressions serve one month at a time (plain columns) and a whole histo
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -44,6 +46,20 @@ def zero_if_null(value: Column) -> Column:
     return F.coalesce(value, F.lit(0).cast("bigint"))
 
 
+#: ``bind(value, body)`` gives ``body(value)``; one that keeps the value spares its repetition.
+Bind = Callable[[Column, Callable[[Column], Column]], Column]
+
+
+def repeated(value: Column, body: Callable[[Column], Column]) -> Column:
+    """For plain columns: the optimizer finds what is repeated."""
+    return body(value)
+
+
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """For lambdas of array functions, in which every mention of a value is computed again."""
+    return F.aggregate(F.array().cast("array<int>"), value, lambda kept, _: kept, body)
+
+
 def _div(value: Column, by: int) -> Column:
     """Quotient towards minus infinity."""
     return F.call_function("div", value - F.pmod(value, F.lit(by)), F.lit(by))
@@ -71,26 +87,40 @@ def times(amount: Column, rate: Column | int, scale: int) -> Parts:
     return Parts(_div(amount, scale) * rate, rest * rate * (CENT_PARTS // scale))
 
 
-def rounded(parts: Parts) -> Column:
+def rounded(parts: Parts, bind: Bind = repeated) -> Column:
     """Whole cents, half away from zero."""
-    whole = parts.whole + _div(parts.rest, CENT_PARTS)
-    rest, half = F.pmod(parts.rest, F.lit(CENT_PARTS)), CENT_PARTS // 2
-    up = (rest > half) | ((rest == half) & (whole >= 0))
-    return whole + F.when(up, 1).otherwise(0).cast("bigint")
+    half = CENT_PARTS // 2
 
+    def up(whole: Column, part: Column) -> Column:
+        return whole + F.when((part > half) | ((part == half) & (whole >= 0)), 1).otherwise(0).cast("bigint")
 
-def late_interest(previous: Column, paid_by_10: Column, paid_by_15: Column) -> Parts:
-    """2 % of what was open after day 10 and 5 % of what was open after day 15.
+    def split(rest: Column) -> Column:
+        return bind(
+            F.pmod(rest, F.lit(CENT_PARTS)),
+            lambda part: bind(
+                parts.whole + F.call_function("div", rest - part, F.lit(CENT_PARTS)), lambda whole: up(whole, part)
+            ),
+        )
 
-    Never negative, and 0 when nothing was due.
-    """
+    return bind(parts.rest, split)
+
+
+def _due(previous: Column, paid_by_10: Column, paid_by_15: Column) -> Column:
+    """Late interest in parts of a cent, a hundred to one."""
     charge = (
         previous * (FIRST_RATE + SECOND_RATE)
         - zero_if_null(paid_by_10) * FIRST_RATE
         - zero_if_null(paid_by_15) * SECOND_RATE
     )
-    due = zero_if_null(F.when(previous > 0, F.greatest(charge, F.lit(0).cast("bigint"))))
-    return times(due, 1, 100)
+    return zero_if_null(F.when(previous > 0, F.greatest(charge, F.lit(0).cast("bigint"))))
+
+
+def late_interest(previous: Column, paid_by_10: Column, paid_by_15: Column) -> Parts:
+    """2 % of what was open after day 10 and 5 % of what was open after day 15.
+
+    Never negative, and 0 when nothing was due.
+    """
+    return times(_due(previous, paid_by_10, paid_by_15), 1, 100)
 
 
 def share(total: Column, percent: Column) -> Parts:
@@ -102,13 +132,33 @@ def _percent(amount: Column, rate: int, condition: Column | None = None) -> Part
     return times(amount, rate, 100).only_if(condition)
 
 
-def own_charge(month, policy: str = "partial_payment") -> Parts:
-    """What a unit's month adds by itself: its shares (flat: the building totals) less what was paid."""
+def building_charge(month, policy: str = "partial_payment") -> Parts:
+    """What a building's month adds for a hundredth of a percent of it (flat: to every unit)."""
     check_policy(policy)
+    if policy == "flat":
+        return Parts(zero_if_null(month("ordinario")) + zero_if_null(month("extra")))
+    one = F.lit(1).cast("bigint")
+    return share(month("ordinario"), one) + share(month("extra"), one)
+
+
+def own_charge(month, policy: str = "partial_payment", building: Parts | None = None) -> Parts:
+    """What a unit's month adds by itself: its shares (flat: the building totals) less what was paid.
+
+    ``building``: the month's :func:`building_charge`, where it is known already.
+    """
+    building = building_charge(month, policy) if building is None else building
     paid = Parts(-zero_if_null(month("pagos")))
     if policy == "flat":
-        return paid + Parts(zero_if_null(month("ordinario")) + zero_if_null(month("extra")))
-    return paid + share(month("ordinario"), month("coeficiente")) + share(month("extra"), month("coeficiente"))
+        return paid + building
+    return paid + Parts(building.whole * month("coeficiente"), building.rest * month("coeficiente"))
+
+
+#: Inputs of a unit's month that come from its payments, by policy.
+PAID = {
+    "partial_payment": ("pagos", "hasta10", "hasta15"),
+    "last_payment": ("pagos", "ultimo"),
+    "flat": ("pagos",),
+}
 
 
 def interest_of(month, policy: str = "partial_payment", in_total: bool = True) -> Parts:
@@ -131,7 +181,9 @@ def interest_of(month, policy: str = "partial_payment", in_total: bool = True) -
     return _percent(previous, FIRST_RATE, late(10)) + _percent(previous, SECOND_RATE, late(15))
 
 
-def account_total(month, policy: str = "partial_payment", own: Parts | None = None) -> Column:
+def account_total(
+    month, policy: str = "partial_payment", own: Parts | None = None, bind: Bind = repeated
+) -> Column:
     """Amount to pay for one unit and month.
 
     ``month(name)`` gives the inputs: ``previo`` and ``saldoPrevio`` (total and
@@ -140,8 +192,11 @@ def account_total(month, policy: str = "partial_payment", own: Parts | None = No
     ``ordinario``, ``extra`` (building totals) and ``coeficiente``.  ``own``: the month's
     :func:`own_charge`, where it is known already.
     """
-    own = own_charge(month, policy) if own is None else own
-    total = rounded(Parts(zero_if_null(month("previo"))) + interest_of(month, policy) + own)
+    own = (own_charge(month, policy) if own is None else own) + Parts(zero_if_null(month("previo")))
+    if policy == "partial_payment":
+        due = _due(month("previo"), month("hasta10"), month("hasta15"))
+        return bind(due, lambda x: rounded(times(x, 1, 100) + own, bind))
+    total = rounded(interest_of(month, policy) + own, bind)
     return F.greatest(total, F.lit(0).cast("bigint")) if policy == "last_payment" else total
 
 
@@ -159,7 +214,7 @@ def account_amounts(month, policy: str = "partial_payment", total: Column | None
     }
 
 
-def final_balance(month) -> Column:
+def final_balance(month, bind: Bind = repeated) -> Column:
     """Final cash balance of one building and month (see :func:`position_amounts`)."""
     known = (
         zero_if_null(month("saldoPrevio"))
@@ -167,8 +222,8 @@ def final_balance(month) -> Column:
         - zero_if_null(month("ordinario"))
         - zero_if_null(month("extra"))
     )
-    interest = late_interest(month("egresosPrevios"), month("hasta10"), month("hasta15"))
-    return rounded(Parts(known) + interest)
+    due = _due(month("egresosPrevios"), month("hasta10"), month("hasta15"))
+    return bind(due, lambda x: rounded(Parts(known) + times(x, 1, 100), bind))
 
 
 def position_amounts(month, mode: str = "reference") -> dict[str, Column]:
