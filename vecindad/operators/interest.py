@@ -160,6 +160,9 @@ PAID = {
     "flat": ("pagos",),
 }
 
+#: Policies whose interest goes by the balance of the month before too.
+BALANCE = ("last_payment", "flat")
+
 
 def interest_of(month, policy: str = "partial_payment", in_total: bool = True) -> Parts:
     """Interest on the month before.  With the last-payment policy the one in the total goes
