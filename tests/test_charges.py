@@ -221,6 +221,28 @@ def test_months_of_a_building_are_joined_after_the_shuffle_by_unit(spark):
     assert plan.index("Join LeftOuter") < plan.index("RepartitionByExpression")
 
 
+def test_fold_state_is_the_total_alone(spark):
+    """What is known before the fold is not spelled out by month; payments are looked up by month."""
+    from vecindad.operators import history
+
+    kinds = []
+    folded = history.folded
+
+    def seen(months, step, kind):
+        kinds.append(kind)
+        return folded(months, step, kind)
+
+    history.folded = seen
+    try:
+        accounts = charge_history(random_ledger(spark), (2025, 1), (2025, 3), run_date=RUN)["Estado_Cuentas"]
+    finally:
+        history.folded = folded
+    plan = accounts._jdf.queryExecution().optimizedPlan().toString()
+    assert "bigint" in kinds
+    assert "_pagado" in plan and "resto" not in plan
+    assert accounts.count() > 0
+
+
 def test_fold_goes_over_blocks(spark):
     """Forty months in blocks of twelve: each result is the one before and the month's own."""
     from pyspark.sql import functions as F

@@ -66,13 +66,21 @@ def _div(value: Column, by: int) -> Column:
 
 
 class Parts:
-    """Whole cents and a rest in 1e-4 cents, which may exceed a cent until rounded."""
+    """Whole cents and a rest in 1e-4 cents, which may exceed a cent until rounded.
+
+    A rest that is not given is 0 and left out of sums.
+    """
 
     def __init__(self, whole: Column, rest: Column | None = None):
-        self.whole, self.rest = whole, F.lit(0).cast("bigint") if rest is None else rest
+        self.whole, self._rest = whole, rest
+
+    @property
+    def rest(self) -> Column:
+        return F.lit(0).cast("bigint") if self._rest is None else self._rest
 
     def __add__(self, other: Parts) -> Parts:
-        return Parts(self.whole + other.whole, self.rest + other.rest)
+        rests = [x._rest for x in (self, other) if x._rest is not None]
+        return Parts(self.whole + other.whole, rests[0] + rests[1] if len(rests) == 2 else rests[0] if rests else None)
 
     def only_if(self, condition: Column | None) -> Parts:
         if condition is None:
@@ -87,12 +95,18 @@ def times(amount: Column, rate: Column | int, scale: int) -> Parts:
     return Parts(_div(amount, scale) * rate, rest * rate * (CENT_PARTS // scale))
 
 
+def hundredths(amount: Column) -> Parts:
+    """``amount / 100``, of an amount that is not negative."""
+    return Parts(F.call_function("div", amount, F.lit(100)), amount % 100 * (CENT_PARTS // 100))
+
+
 def rounded(parts: Parts, bind: Bind = repeated) -> Column:
     """Whole cents, half away from zero."""
     half = CENT_PARTS // 2
 
     def up(whole: Column, part: Column) -> Column:
-        return whole + F.when((part > half) | ((part == half) & (whole >= 0)), 1).otherwise(0).cast("bigint")
+        one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+        return whole + F.when((part > half) | ((part == half) & (whole >= 0)), one).otherwise(none)
 
     def split(rest: Column) -> Column:
         return bind(
@@ -120,7 +134,7 @@ def late_interest(previous: Column, paid_by_10: Column, paid_by_15: Column) -> P
 
     Never negative, and 0 when nothing was due.
     """
-    return times(_due(previous, paid_by_10, paid_by_15), 1, 100)
+    return hundredths(_due(previous, paid_by_10, paid_by_15))
 
 
 def share(total: Column, percent: Column) -> Parts:
@@ -198,7 +212,7 @@ def account_total(
     own = (own_charge(month, policy) if own is None else own) + Parts(zero_if_null(month("previo")))
     if policy == "partial_payment":
         due = _due(month("previo"), month("hasta10"), month("hasta15"))
-        return bind(due, lambda x: rounded(times(x, 1, 100) + own, bind))
+        return bind(due, lambda x: rounded(hundredths(x) + own, bind))
     total = rounded(interest_of(month, policy) + own, bind)
     return F.greatest(total, F.lit(0).cast("bigint")) if policy == "last_payment" else total
 
@@ -226,7 +240,7 @@ def final_balance(month, bind: Bind = repeated) -> Column:
         - zero_if_null(month("extra"))
     )
     due = _due(month("egresosPrevios"), month("hasta10"), month("hasta15"))
-    return bind(due, lambda x: rounded(Parts(known) + times(x, 1, 100), bind))
+    return bind(due, lambda x: rounded(Parts(known) + hundredths(x), bind))
 
 
 def position_amounts(month, mode: str = "reference") -> dict[str, Column]:
