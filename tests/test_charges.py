@@ -402,6 +402,70 @@ def test_statement_reads_one_month(spark, tmp_path):
     assert f"{root}/Expensas" not in plan
 
 
+@pytest.mark.parametrize("policy", ["partial_payment", "last_payment", "flat"])
+def test_small_totals_are_those_computed_in_parts(spark, policy):
+    """The limit itself, halves of a cent, balances below 0, months without payment."""
+    from pyspark.sql import functions as F
+
+    from vecindad.operators.interest import SMALL, account_total, small_total
+
+    rng = random.Random(7)
+    ends = [0, 1, -1, 49, 50, -50, 150, 5000, -5000, 12345, SMALL, -SMALL]
+
+    def pick():
+        return rng.choice(ends) if rng.random() < 0.5 else rng.randint(-(10 ** rng.randint(1, 14)), 10 ** rng.randint(1, 14))
+
+    kept = (None, dt.date(2025, 3, 3))
+    rows = [
+        (pick(), pick(), *[rng.choice([None, pick()]) for _ in range(3)], rng.choice(kept), pick() // 2, pick() // 2,
+         rng.choice([None, 0, 1, 25, 3333, 9999, -9999]))
+        for _ in range(600)
+    ]
+    names = "previo saldoPrevio pagos hasta10 hasta15 ultimo ordinario extra coeficiente".split()
+    frame = spark.createDataFrame(rows, ", ".join(f"{n} {'date' if n == 'ultimo' else 'long'}" for n in names))
+    both = F.col("ordinario") + F.col("extra")
+    none = frame.withColumns({n: F.lit(None).cast("date" if n == "ultimo" else "long") for n in names[2:6]})
+    for rows_of_kind, paid in ((frame, True), (none, False), (none, True)):
+        found = rows_of_kind.select(
+            account_total(F.col, policy).alias("exact"), small_total(F.col, both, policy, paid).alias("small")
+        ).collect()
+        assert [r.small for r in found] == [r.exact for r in found]
+
+
+@pytest.mark.parametrize("policy", ["partial_payment", "flat"])
+def test_history_is_exact_on_both_sides_of_the_limit(spark, policy):
+    """Months that are small, just within the limit, and beyond it by charge or by balance."""
+    from fractions import Fraction
+
+    from vecindad.operators.history import account_history
+    from vecindad.operators.interest import SMALL
+    from vecindad.operators.payments import collected, paid_by_account, paid_by_unit
+
+    cents = [101, SMALL - 1, SMALL, SMALL + 1, 77 * SMALL + 13, 99, 0, 3]
+    documents = spark.createDataFrame(
+        [(1, 24300 + i, 70 + i, D(c) / 100, D(0)) for i, c in enumerate(cents)],
+        "consorcioID long, periodo int, documentoID long, expOrdinarias decimal(18,2), expExtraordinarias decimal(18,2)",
+    )
+    shares = {1: 3333, 2: 1, 3: 9999}
+    units = spark.createDataFrame(
+        [(k, 1, D(v) / 100) for k, v in shares.items()], "unidadFuncionalID long, consorcioID long, coeficiente decimal(4,2)"
+    ).selectExpr("*", "cast(null as string) as CBU_CVU")
+    lines = collected(ledger(spark)["Detalle_CSV"]).where("false")
+    rows = account_history(units, documents, paid_by_account(lines), paid_by_unit(lines), policy).collect()
+    found = {(r.unidadFuncionalID, r.documentoID): int(r.totalPagar * 100) for r in rows}
+    expected = {}
+    for unit, percent in shares.items():
+        total = balance = 0
+        for i, c in enumerate(cents):
+            if policy == "flat":
+                whole = total + c + Fraction(2 * total + 5 * balance, 100)
+            else:
+                whole = total + Fraction(c * percent, 10_000) + Fraction(7 * total, 100)
+            balance, total = total, int(whole + Fraction(1, 2))
+            expected[unit, 70 + i] = total
+    assert found == expected
+
+
 def test_continued_months_are_put_together_once(spark):
     """A condition on the months had them sorted a second time."""
     from vecindad.operators.history import account_history

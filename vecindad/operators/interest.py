@@ -13,6 +13,8 @@ The same expressions serve one month at a time (plain columns) and a whole histo
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -217,6 +219,43 @@ def account_total(
     return F.greatest(total, F.lit(0).cast("bigint")) if policy == "last_payment" else total
 
 
+#: Amounts up to this many cents, either way, have totals that can be computed in one number.
+SMALL = 10**14
+
+
+def small(*amounts: Column) -> Column:
+    """Whether all amounts are within :data:`SMALL`; one that is NULL is."""
+    within = [F.coalesce(x.between(F.lit(-SMALL), F.lit(SMALL)), F.lit(True)) for x in amounts]
+    return functools.reduce(operator.and_, within)
+
+
+def small_total(month, charge: Column, policy: str = "partial_payment", paid: bool = True, bind: Bind = repeated) -> Column:
+    """:func:`account_total` of amounts within :data:`SMALL`, in one number of 1e-4 cents.
+
+    ``charge``: both building totals of the month together.  ``previo`` and ``saldoPrevio``
+    are not NULL.  Without ``paid`` the month has no payment, and none is looked at.
+    """
+    previous, cent = month("previo"), CENT_PARTS
+    late = month("previo") * (FIRST_RATE * cent // 100) + month("saldoPrevio") * (SECOND_RATE * cent // 100) if policy in BALANCE else None
+    own = charge * cent if policy == "flat" else charge * month("coeficiente")
+    if paid:
+        own = own + (previous - zero_if_null(month("pagos"))) * cent
+        if policy == "partial_payment":
+            own = own + _due(previous, month("hasta10"), month("hasta15")) * (cent // 100)
+        elif policy == "last_payment":
+            own = own + F.when(month("ultimo").isNull(), late).otherwise(F.lit(0).cast("bigint"))
+        else:
+            own = own + late
+    elif policy == "partial_payment":
+        rate = F.lit(cent + (FIRST_RATE + SECOND_RATE) * cent // 100).cast("bigint")
+        own = own + previous * F.when(previous > 0, rate).otherwise(F.lit(cent).cast("bigint"))
+    else:
+        own = own + previous * cent + late
+    half = F.lit(cent // 2).cast("bigint")
+    total = bind(own, lambda x: F.call_function("div", x + F.when(x >= 0, half).otherwise(-half), F.lit(cent).cast("bigint")))
+    return F.greatest(total, F.lit(0).cast("bigint")) if policy == "last_payment" else total
+
+
 def account_amounts(month, policy: str = "partial_payment", total: Column | None = None) -> dict[str, Column]:
     """All amounts of one unit and month, from the inputs of :func:`account_total`."""
     previous, paid = zero_if_null(month("previo")), zero_if_null(month("pagos"))
