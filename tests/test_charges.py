@@ -491,3 +491,33 @@ def test_continued_months_are_put_together_once(spark):
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     steps = [line.lstrip(" :+-") for line in plan.splitlines()]
     assert not [step for step in steps if step.startswith("Filter") and "sort_array" in step]
+
+
+def test_months_of_a_history_from_nothing_hold_no_stored_balances(spark):
+    """Rows gathered by unit are no wider than their policy needs."""
+    accounts = charge_history({k: v for k, v in random_ledger(spark).items() if k != "Estado_Cuentas"}, (2025, 1), (2025, 3), policy="flat", run_date=RUN)["Estado_Cuentas"]
+    plan = accounts._jdf.queryExecution().optimizedPlan().toString()
+    assert "_pagado" in plan and "fijo" not in plan
+    assert accounts.count() > 0
+
+
+def test_ordinary_costs_are_summed_in_cents(spark, tmp_path):
+    """Sums as of decimals (rounded by row, NULL without an amount), in a buffer of one number."""
+    from vecindad.sources import star_schema as star
+
+    noon = dt.datetime(1997, 5, 3, 12)
+    lines = [(1, 1, 0.125, noon), (2, 1, 2.345, dt.datetime(1997, 5, 3)), (3, 1, -1.005, noon), (4, 2, None, noon), (5, 3, 1.0, None),
+             (6, 3, 99999999999.99, None), (7, 9, 5.0, noon), (8, None, 5.0, noon)]
+    spark.createDataFrame(
+        lines, "l_orderkey long, l_suppkey long, l_extendedprice double, l_shipdate timestamp_ntz"
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame(
+        [(1, 4), (2, 4), (3, None)], "s_suppkey long, s_nationkey int"
+    ).write.parquet(f"{tmp_path}/supplier.parquet")
+    costs = star.ordinary_costs(spark, str(tmp_path))
+    assert sorted(map(tuple, costs.collect()), key=str) == [
+        (1, 4, dt.date(1997, 5, 3), D("1.47")), (2, 4, dt.date(1997, 5, 3), None), (3, None, None, D("100000000000.99")),
+    ]
+    assert costs.schema["importeTotal"].dataType.simpleString() == "decimal(18,2)"
+    text = costs._jdf.queryExecution().optimizedPlan().toString()
+    assert "sum(cast((cast(l_extendedprice" in text and "as bigint))" in text

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType, TimestampNTZType
 
 from vecindad.functions.dates import index_month, index_year, month_index
+from vecindad.operators.interest import from_cents, to_cents
 from vecindad.schemas import INT, LONG, MONEY, TEXT
 
 REAL, TIME = DoubleType(), TimestampNTZType()
@@ -100,12 +101,13 @@ def ordinary_costs(spark: SparkSession, folder: str) -> DataFrame:
     """Running costs: what one supplier delivered on one day.
 
     Line items are summed by supplier and day before they meet the suppliers,
-    so a supplier with very many lines is small by then.
+    so a supplier with very many lines is small by then.  Sums are of whole cents: most
+    suppliers have a line or two a day, and a sum of decimals is more than twice as wide.
     """
     delivered = (
         table(spark, folder, "lineitem")
         .groupBy("l_suppkey", F.col("l_shipdate").cast("date").alias("fecha"))
-        .agg(F.sum(amount("l_extendedprice")).cast(MONEY).alias("importeTotal"))
+        .agg(from_cents(F.sum(to_cents(amount("l_extendedprice")))).alias("importeTotal"))
     )
     placed = table(spark, folder, "supplier").select(
         F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").cast("bigint").alias("consorcioID")
